@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.functions.text import or_else, strip
@@ -32,15 +32,21 @@ HIGHLIGHT_GUIDE = "From these articles, write three to five sentences on what a
 def assign_batches(df: DataFrame, order: list[str], size: int = BATCH, edition: str | None = None) -> DataFrame:
     """Dense idx from 0 on in the given order, and batch_id = idx div size.
 
-    With an edition column, numbers start anew in each edition (a window of it). Without, rows are sorted by
-    range and numbered by the offset of their partition, never in one task.
+    With an edition column, numbers start anew in each edition. Rows are sorted by range and numbered by the
+    offset of their partition, so neither all rows nor a large edition are in one task.
     """
+    keys = [edition, *order] if edition else order
+    ids = df.orderBy(*keys).select("*", F.spark_partition_id().alias("_part"), (F.monotonically_increasing_id() % (1 << 33)).alias("_row")).persist()
+    before, starts = 0, []
+    for part, n in sorted(ids.groupBy("_part").count().collect()):  # a row for each partition
+        starts.append((part, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(starts, "_part int, _before long")
+    numbered = ids.join(F.broadcast(offsets), "_part").withColumn("idx", F.col("_row") + F.col("_before")).drop("_part", "_row", "_before")
     if edition:
-        idx = F.row_number().over(Window.partitionBy(edition).orderBy(*order)) - 1
-        return df.withColumn("idx", idx.cast("long")).withColumn("batch_id", F.expr(f"idx div {size}"))
-    schema = df.schema.add("idx", "long")
-    rows = df.orderBy(*order).rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    return df.sparkSession.createDataFrame(rows, schema).withColumn("batch_id", F.expr(f"idx div {size}"))
+        first = numbered.groupBy(edition).agg(F.min("idx").alias("_first"))
+        numbered = numbered.join(first, edition).withColumn("idx", F.col("idx") - F.col("_first")).drop("_first")
+    return numbered.select(*df.columns, "idx", F.expr(f"idx div {size}").alias("batch_id"))
 
 
 def _prompts(batches: DataFrame, line: Column, keys: list[str], frame: Callable[[Column], Column]) -> DataFrame:
