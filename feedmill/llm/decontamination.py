@@ -21,10 +21,14 @@ from feedmill.llm.textarrays import NOT_ALNUM, U64, int64, mix, pieces, word_has
 
 #: Words that a mask looks at, 8 of 13 to 15. The gaps differ, so that a few replaced words spare one of them somewhere.
 MASKS = ((0, 1, 2, 4, 7, 9, 12, 13), (0, 2, 3, 5, 6, 9, 11, 12), (0, 1, 4, 5, 8, 10, 13, 14))
-#: Share of an item's words that a text must hold in place.
-OVERLAP = 0.6
+#: A run of words for items that are too short for all masks.
+SHORT_MASK = (0, 1, 2, 3, 4)
+#: Items with fewer words than this need the short mask.
+FULL_WORDS = max(m[-1] for m in MASKS) + 1
 #: Items with fewer words are too short to tell.
-LEAST_WORDS = max(m[-1] for m in MASKS) + 1
+LEAST_WORDS = 8
+#: Share of an item's words that a text must hold in place. A word put into a passage halves what lies on one diagonal.
+OVERLAP = 0.5
 FILTER_BITS = 23
 
 
@@ -32,7 +36,7 @@ def seed_hashes(words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.nda
     """For each mask its number, the words at which it fits into a text, and its hashes there."""
     n = len(words)
     end = np.repeat(at[1:], np.diff(at))
-    for k, mask in enumerate(MASKS):
+    for k, mask in enumerate((*MASKS, SHORT_MASK)):
         where = np.flatnonzero(np.arange(n) + mask[-1] < end)
         if not len(where):
             continue
@@ -57,7 +61,9 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, _, words, at in _lower_words(batch.column(1)):
             n = np.diff(at)
             row = np.repeat(np.arange(len(n)), n)
-            for _, where, hashes in seed_hashes(words, at):
+            for k, where, hashes in seed_hashes(words, at):
+                fits = (n[row[where]] >= LEAST_WORDS) & ((k < len(MASKS)) | (n[row[where]] < FULL_WORDS))
+                where, hashes = where[fits], hashes[fits]
                 r = row[where]
                 yield pa.record_batch([int64(hashes), ids.take(pa.array(r + lo)), pa.array(where - at[r])], ["seed", "item_id", "place"])
 
@@ -124,8 +130,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
     (words in place) and share (of the item's words, at least overlap). Words are runs of letters and digits
     in lower case. Where an item is found more than once in a text, the best place counts, then the first.
 
-    Items with fewer than 15 words are too short to tell and are left out, as are null and empty texts and
-    rows with null ids. Equal rows are one text. Other columns are ignored. Empty tables give an empty one.
+    Items of 8 to 14 words must share a run of five words with a text. Shorter items are left out, as are
+    null and empty texts and rows with null ids. Equal rows are one text. Other columns are ignored. Empty tables give an empty one.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
