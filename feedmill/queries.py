@@ -437,6 +437,31 @@ def scoring_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prompts.join(batches.groupBy("source_name", "batch_id").agg(F.count("*").alias("n")), ["source_name", "batch_id"]).select("source_name", "batch_id", F.md5(listing).alias("listing"), "n")
 
 
+@query(f"""WITH {_ARTICLES}, b AS (SELECT edition, rank - 1 AS idx, title, link, description, source_name FROM dig)
+SELECT edition, CAST(idx // 15 AS BIGINT) AS batch_id, md5(string_agg('Index ' || CAST(idx AS VARCHAR) || ': [' || source_name || '] ' || title || chr(10) || 'URL: ' || link || chr(10) || substr(description, 1, 800), chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY idx)) AS listing FROM b GROUP BY edition, idx // 15""")
+def summary_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = digests(spark, sf_dir).withColumn("idx", (F.col("rank") - 1).cast("long")).withColumn("batch_id", F.expr(f"idx div {S.BATCH}"))
+    skip = len(S.SUMMARY_GUIDE) + len(S.SUMMARY_LANG["zh"]) + 4
+    prompts = S.summary_prompts(rows, "zh", ("edition", "batch_id"))
+    return prompts.select("edition", "batch_id", F.md5(F.expr(f"substring(prompt, {skip}, length(prompt) - {skip + len(S.SUMMARY_ANSWER) + 1})")).alias("listing"))
+
+
+@query(f"""WITH {_ARTICLES} SELECT edition, '{S.HIGHLIGHT_GUIDE} {S.SUMMARY_LANG["en"]}' || chr(10) || chr(10) || string_agg(CAST(rank AS VARCHAR) || '. [' || category || '] ' || title || ' — ' || substr(description, 1, 100), chr(10) ORDER BY rank) AS prompt FROM dig WHERE rank <= 10 GROUP BY edition""")
+def highlight_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.highlight_prompt(digests(spark, sf_dir).withColumns({"title_zh": F.lit(""), "summary": F.col("description")}), "en")
+
+
+def _count_words(prompt: str) -> str:
+    if len(prompt) % 5 == 0:
+        raise ValueError("odd prompt")
+    return str(len(prompt.split(" ")))
+
+
+@query("SELECT doc_id AS batch_id, CASE WHEN length(text) % 5 = 0 THEN NULL ELSE CAST(len(string_split(text, ' ')) AS VARCHAR) END AS response, CASE WHEN length(text) % 5 = 0 THEN 'ValueError: odd prompt' END AS error FROM documents")
+def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.apply_model(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("batch_id"), F.col("text").alias("prompt")), _count_words)
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx, (row_number() OVER (ORDER BY doc_id) - 1) // 15 AS batch_id FROM documents")
 def global_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.assign_batches(_t(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
@@ -492,11 +517,15 @@ def title_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return articles(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(V.title_tokens("title")), " ").alias("tokens"))
 
 
-_STORY = rf"""st AS (SELECT article_id, topic, list_distinct(list_transform({put(_TOKENS, 'title')}[1:4], lambda x: lower(x))) AS kw, {put(_TOKENS, 'title')} AS tt FROM sco)"""
+_STORY = rf"""st AS (SELECT article_id, source_name AS edition, topic, link, title, relevance + quality + timeliness AS total, list_sort({put(_TOKENS, 'title')})[1:4] AS kw, {put(_TOKENS, 'title')} AS tt FROM sco)"""
+_SAME_STORY = (
+    "(len({0}.kw) > 0 AND len({1}.kw) > 0 AND len(list_intersect({0}.kw, {1}.kw)) / (len({0}.kw) + len({1}.kw) - len(list_intersect({0}.kw, {1}.kw))) >= 0.45 "
+    "OR len({0}.tt) > 0 AND len({1}.tt) > 0 AND len(list_intersect({0}.tt, {1}.tt)) / least(len({0}.tt), len({1}.tt)) >= 0.5)"
+)
 
 
 def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scored(spark, sf_dir).select("article_id", "topic", "title", "total_score", "link", "source_name", F.slice(V.title_tokens("title"), 1, 4).alias("keywords"))
+    return scored(spark, sf_dir).select("article_id", "topic", "title", "total_score", "link", "source_name", F.slice(F.array_sort(V.title_tokens("title")), 1, 4).alias("keywords"))
 
 
 @query(rf"""WITH {_ARTICLES}, st AS (SELECT article_id, topic, {put(_TOKENS, 'title')} AS tt FROM sco),
@@ -512,21 +541,55 @@ s4 AS (SELECT article_id, topic, tt[1:4] AS kw FROM st), t AS (SELECT article_id
 m AS (SELECT x.article_id AS a, y.article_id AS b, count(*) AS n, any_value(len(x.kw)) AS la, any_value(len(y.kw)) AS lb FROM t x JOIN t y ON x.token = y.token AND x.article_id < y.article_id AND x.topic <> y.topic GROUP BY x.article_id, y.article_id)
 SELECT a, b FROM m WHERE n / (la + lb - n) >= 0.45""")
 def similar_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _stories(spark, sf_dir).withColumn("keywords", F.slice(F.array_sort(V.title_tokens("title")), 1, 4)).withColumn("title", F.lit(""))
-    return V.similar_pairs(rows)
+    return V.similar_pairs(_stories(spark, sf_dir).withColumn("title", F.lit("")))
 
 
-@query()
+def _walk_sql(edition: str) -> str:
+    """The greedy walk and the backfill as a recursion over each edition's rows in order."""
+    return f"""WITH RECURSIVE {_ARTICLES}, {_STORY}, ord AS (SELECT * REPLACE ({edition} AS edition), row_number() OVER (PARTITION BY {edition} ORDER BY total DESC, article_id) AS pos FROM st),
+w AS (SELECT DISTINCT edition, CAST(0 AS BIGINT) AS pos, CAST([] AS STRUCT(id VARCHAR, topic VARCHAR, link VARCHAR, kw VARCHAR[], tt VARCHAR[])[]) AS picks FROM ord
+  UNION ALL SELECT w.edition, o.pos, CASE WHEN len(list_filter(w.picks, lambda p: p.topic = o.topic)) >= 2 OR len(list_filter(w.picks, lambda p: p.topic <> o.topic AND {_SAME_STORY.format("p", "o")})) > 0
+    THEN w.picks ELSE list_append(w.picks, {{'id': o.article_id, 'topic': o.topic, 'link': o.link, 'kw': o.kw, 'tt': o.tt}}) END
+  FROM w JOIN ord o ON o.edition = w.edition AND o.pos = w.pos + 1 WHERE len(w.picks) < 30),
+fin AS (SELECT edition, max(pos) AS seen, arg_max(picks, pos) AS picks FROM w GROUP BY edition),
+p AS (SELECT edition, seen - len(picks) AS skipped, unnest(range(1, len(picks) + 1)) AS rank, unnest(picks) AS x FROM fin),
+b AS (SELECT o.edition, o.article_id, f.seen - len(f.picks) AS skipped, len(f.picks) + row_number() OVER (PARTITION BY o.edition ORDER BY o.total DESC, o.article_id) AS rank
+  FROM (SELECT * FROM ord QUALIFY row_number() OVER (PARTITION BY edition, link ORDER BY total DESC, article_id) = 1) o JOIN fin f ON o.edition = f.edition
+  WHERE NOT list_contains(list_transform(f.picks, lambda q: q.link), o.link))
+SELECT edition, x.id AS article_id, CAST(rank AS INTEGER) AS rank, CAST(skipped AS INTEGER) AS skipped FROM p UNION ALL SELECT edition, article_id, CAST(rank AS INTEGER), CAST(skipped AS INTEGER) FROM b WHERE rank <= 30"""
+
+
+@query(_walk_sql("'all'"))
 def diverse_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     top, skipped = V.select_diverse(_stories(spark, sf_dir), 30)
-    return top.select("article_id", "rank", "topic", "total_score", F.lit(skipped).alias("skipped"))
+    return top.select(F.lit("all").alias("edition"), "article_id", "rank", F.lit(skipped).cast("int").alias("skipped"))
 
 
-@query()
+@query(_walk_sql("edition"))
 def diverse_editions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.select_diverse_editions(_stories(spark, sf_dir).withColumn("edition", F.col("source_name")), 30)
 
 
+@query(f"""WITH {_ARTICLES}, {_STORY}, x AS (SELECT *, row_number() OVER (ORDER BY total DESC, article_id) AS r FROM st), l AS (SELECT *, link[1:26] AS site FROM x),
+f AS (SELECT * FROM l WHERE site NOT IN (SELECT site FROM l WHERE r <= 5) QUALIFY row_number() OVER (PARTITION BY site ORDER BY total DESC, article_id) = 1)
+SELECT article_id, CAST(5 + row_number() OVER (ORDER BY total DESC, article_id) AS INTEGER) AS rank FROM f QUALIFY row_number() OVER (ORDER BY total DESC, article_id) <= 7""")
+def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stories(spark, sf_dir).withColumn("link", F.substring("link", 1, 26))
+    chosen = V.rank_articles(rows).limit(5).select("article_id")
+    return V.backfill(rows, chosen, 12)
+
+
+@query(f"""WITH {_ARTICLES}, {_STORY}, n AS (SELECT *, CAST(article_id AS BIGINT) AS i FROM st)
+SELECT a.article_id AS a, b.article_id AS b, round(CASE WHEN len(a.kw) = 0 OR len(b.kw) = 0 THEN 0 ELSE len(list_intersect(a.kw, b.kw)) / (len(a.kw) + len(b.kw) - len(list_intersect(a.kw, b.kw))) END, 6) AS jaccard,
+a.topic <> b.topic AND {_SAME_STORY.format("a", "b")} AS same FROM n a JOIN n b ON b.i = a.i + 20""")
+def neighbours_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stories(spark, sf_dir).withColumn("i", F.col("article_id").cast("long"))
+    a, b = rows.alias("a"), rows.withColumn("i", F.col("i") - 20).alias("b")
+    pair = [F.col(f"{x}.{c}") for x in "ab" for c in ("topic", "keywords", "title")]
+    met = a.join(b, F.col("a.i") == F.col("b.i"))
+    return met.select(F.col("a.article_id").alias("a"), F.col("b.article_id").alias("b"), F.round(V.keyword_jaccard(pair[1], pair[4]), 6).alias("jaccard"), V.is_duplicate_pair(*pair).alias("same"))
+
+
 # --- report ---------------------------------------------------------------------------------------------
 
 
@@ -661,7 +724,12 @@ def translation_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.translation_jobs(_markdown(spark, sf_dir)).select("article_id", "pos", "idx", "batch", F.md5("content").alias("content"))
 
 
-@query()
+@query(rf"""WITH {_BLOCKROWS}, q AS (SELECT article_id, CAST(row_number() OVER (PARTITION BY article_id ORDER BY k) - 1 AS INTEGER) AS pos, type, content FROM bl),
+x AS (SELECT *, {_sql_markup('content')} AS p, {sql_strip(f"regexp_replace(content, '^#{{1,6}}{SPACE}+', '')")} AS bare FROM q),
+y AS (SELECT *, {_COUNTS}, len(regexp_extract_all(bare, '{C.LETTERS}')) AS own FROM x),
+z AS (SELECT article_id, pos, content, type = 'text' AND length(bare) >= 8 AND NOT (han > 0 AND han / greatest(han + letters, 1) >= 0.2) AND own >= 4 AS job FROM y),
+t AS (SELECT article_id, string_agg(content || CASE WHEN job THEN chr(10) || chr(10) || chr(10) || chr(10) || '译文' || CAST(pos AS VARCHAR) ELSE '' END, chr(10) || chr(10) ORDER BY pos) AS m, count(*) FILTER (WHERE job) AS n FROM z GROUP BY article_id)
+SELECT article_id, md5(CASE WHEN n > 0 THEN {sql_strip("regexp_replace(m, '\\n{3,}', chr(10) || chr(10), 'g')")} ELSE m END) AS markdown, CAST(n AS INTEGER) AS n FROM t""")
 def translated_clippings(spark: SparkSession, sf_dir: str) -> DataFrame:
     clips = _markdown(spark, sf_dir)
     jobs = C.translation_jobs(clips)
