@@ -5,14 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedmill.functions.text import as_column, filled, first_group, or_else, strip
+from feedmill.functions.text import as_column, filled, first_group, let, or_else, strip
 
 
 def cdata(text: Column | str) -> Column:
     """What the first CDATA section holds; the text itself without one."""
-    text = as_column(text)
-    pattern = r"(?s)<!\[CDATA\[(.*?)\]\]>"
-    return F.when(text.rlike(pattern), first_group(text, pattern)).otherwise(text)
+    return F.regexp_replace(as_column(text), r"(?s)\A.*?<!\[CDATA\[(.*?)\]\]>.*\z", "$1")
 
 
 def tag_text(xml: Column | str, tag: str) -> Column:
@@ -45,7 +43,7 @@ def strip_html(text: Column | str) -> Column:
     out = F.regexp_replace(filled(text), r"<[^>]*>", "")
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
-    return strip(decode_numeric_entities(out))
+    return strip(let(out, decode_numeric_entities))
 
 
 def feed_format(body: Column | str) -> Column:
@@ -104,8 +102,8 @@ def parse_feed_date(text: Column | str) -> Column:
     for name, offset in ZONES:
         plain = F.regexp_replace(plain, rf"(?i) {name}\z", f" {offset}")
     plain = F.regexp_replace(plain, r" ([+-][0-9]{2}):([0-9]{2})\z", " $1$2")
-    iso = F.when(plain.rlike(r"^[0-9]{4}"), F.try_to_timestamp(plain))
-    return F.coalesce(iso, *[F.try_to_timestamp(plain, F.lit(f)) for f in _DATE_FORMATS], F.timestamp_seconds(F.lit(0)))
+    iso = lambda t: F.when(t.rlike(r"^[0-9]{4}"), F.try_to_timestamp(t))
+    return let(plain, lambda t: F.coalesce(iso(t), *[F.try_to_timestamp(t, F.lit(f)) for f in _DATE_FORMATS], F.timestamp_seconds(F.lit(0))))
 
 
 def looks_like_feed_head(body: Column | str, limit: int = 500) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,9 +20,14 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(F.regexp_replace(as_column(c), f"^{SPACE}+", ""), f"{SPACE}+\\z", "")
 
 
-def or_else(*choices: Column) -> Column:
-    """The first choice that is neither null nor empty; else empty."""
-    return F.coalesce(*[F.nullif(c, F.lit("")) for c in choices], F.lit(""))
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def or_else(first: Column, *choices: Column) -> Column:
+    """The first choice that is neither null nor empty; else empty. Later ones are computed only if needed."""
+    return let(first, lambda x: F.when(x != "", x).otherwise(or_else(*choices) if choices else F.lit("")))
 
 
 def filled(c: Column | str) -> Column:
