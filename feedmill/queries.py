@@ -352,10 +352,10 @@ def listed_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.list_issues(_listing(spark, sf_dir))
 
 
-@query(r"""WITH k AS (SELECT DISTINCT regexp_replace(url, '/+\z', '') AS u FROM pages WHERE page_id % 3 <> 0) SELECT page_id, url FROM pages WHERE regexp_replace(url, '/+\z', '') NOT IN (SELECT u FROM k)""")
+@query(r"""WITH k AS (SELECT DISTINCT CASE WHEN page_id % 3 = 0 THEN url || '-old' ELSE regexp_replace(url, '/+\z', '') END AS u FROM pages) SELECT page_id, url FROM pages WHERE regexp_replace(url, '/+\z', '') NOT IN (SELECT u FROM k)""")
 def new_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _t(spark, sf_dir, "pages").select("page_id", "url")
-    return D.new_issues(pages, pages.where("page_id % 3 <> 0").select(F.concat("url", F.lit("/")).alias("url")))
+    return D.new_issues(pages, pages.select(F.concat("url", F.when(F.col("page_id") % 3 == 0, "-old").otherwise("/")).alias("url")))
 
 
 _BLOGS = """blg AS (SELECT page_id AS row_no, regexp_extract(url, '^[^:]+://[^/?#]*') AS blog_url, CASE WHEN page_id % 2 = 1 THEN '' ELSE url END AS rss FROM pages)"""
@@ -379,13 +379,13 @@ _OUT_DOMAIN = "lower(regexp_extract(blog_url, '^[^:/?#]+://([^/?#]*)', 1))"
 @query(rf"""WITH o AS (SELECT page_id % 10 AS issue, page_id, regexp_replace(replace(url, '.com/', '.dev/'), '/+\z', '') AS blog_url FROM pages),
 x AS (SELECT *, {_OUT_DOMAIN} AS domain FROM o), p AS (SELECT * FROM x WHERE {put(_PERSONAL, 'domain')}),
 f AS (SELECT blog_url, min((issue, page_id)) AS m FROM p GROUP BY blog_url)
-SELECT CAST(m[1] AS INTEGER) AS issue, CASE WHEN m[2] % 4 = 0 THEN {_OUT_DOMAIN} ELSE 'Blog' || CAST(m[2] AS VARCHAR) END AS blog_name, blog_url FROM f WHERE blog_url NOT IN (SELECT regexp_replace(url, '/+\z', '') FROM pages WHERE page_id % 6 = 0)""")
+SELECT CAST(m[1] AS INTEGER) AS issue, CASE WHEN m[2] % 4 = 0 THEN {_OUT_DOMAIN} ELSE 'Blog' || CAST(m[2] AS VARCHAR) END AS blog_name, blog_url FROM f WHERE blog_url NOT IN (SELECT CASE WHEN page_id % 6 = 0 THEN regexp_replace(url, '/+\z', '') ELSE url || '/known' END FROM pages)""")
 def extracted_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("page_id")
     a = F.concat(F.lit("<p><a rel=x href='"), F.replace("url", F.lit(".com/"), F.lit(".dev/")), F.lit("'>"), F.when(i % 4 == 0, "").otherwise(F.concat(F.lit("Blog <i> "), i.cast("string"), F.lit("</i>"))), F.lit("</a></p>"))
     rows = _t(spark, sf_dir, "pages").select((i % 10).cast("int").alias("issue"), F.struct("page_id", a.alias("a")).alias("s")).groupBy("issue").agg(F.array_sort(F.collect_list("s")).alias("s"))
     pages = rows.select("issue", F.lit("t").alias("title"), F.lit("u").alias("url"), F.array_join(F.transform("s", lambda x: x["a"]), "\n").alias("body"))
-    known = _t(spark, sf_dir, "pages").where("page_id % 6 = 0").select(U.normalize_url("url").alias("blog_url"))
+    known = _t(spark, sf_dir, "pages").select(U.normalize_url(F.concat("url", F.when(i % 6 == 0, "").otherwise("/known"))).alias("blog_url"))
     return D.extract_blogs(pages, known).select("issue", "blog_name", "blog_url")
 
 
@@ -403,10 +403,11 @@ def working_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.first_working_feed(blogs, landed)
 
 
-@query(f"WITH {_RESP}, u AS (SELECT page_id AS line_no, url FROM pages WHERE page_id % 3 <> 1) SELECT line_no, u.url, coalesce((SELECT bool_or({_VALID}) FROM resp r WHERE r.url = u.url AND r.page_id % 5 <> 0), false) AS valid FROM u")
+@query(f"WITH {_RESP}, u AS (SELECT page_id AS line_no, url FROM pages), r AS (SELECT CASE WHEN page_id % 5 = 0 THEN url || '/gone' ELSE url END AS url, {_VALID} AS v FROM resp) SELECT line_no, u.url, coalesce((SELECT bool_or(v) FROM r WHERE r.url = u.url), false) AS valid FROM u")
 def validated_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = _t(spark, sf_dir, "pages").where("page_id % 3 <> 1").select(F.col("page_id").alias("line_no"), "url")
-    return D.validated(listed, _responses(spark, sf_dir).where("page_id % 5 <> 0"))
+    listed = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("line_no"), "url")
+    moved = F.concat("url", F.when(F.col("page_id") % 5 == 0, "/gone").otherwise(""))
+    return D.validated(listed, _responses(spark, sf_dir).withColumn("url", moved))
 
 
 @query(f"WITH {_RESP}, {_BLOGS}, bad AS (SELECT url FROM resp WHERE NOT {_VALID}) SELECT row_no, blog_url, CASE WHEN rss IN (SELECT url FROM bad) THEN '' ELSE rss END AS rss, rss IN (SELECT url FROM bad) AS purged FROM blg")
@@ -415,12 +416,12 @@ def purged_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.purge_invalid_rss(_blogs(spark, sf_dir), invalid).select("row_no", "blog_url", "rss", "purged")
 
 
-@query(f"""WITH {_RESP}, {_BLOGS}, lst AS (SELECT page_id AS line_no, url FROM pages WHERE page_id % 3 = 0),
+@query(f"""WITH {_RESP}, {_BLOGS}, lst AS (SELECT page_id AS line_no, CASE WHEN page_id % 3 = 0 THEN url ELSE url || '/old' END AS url FROM pages),
 new AS (SELECT rss AS url, min(row_no) AS r FROM blg WHERE rss <> '' AND rss NOT IN (SELECT url FROM lst) GROUP BY rss),
 ok AS (SELECT n.url, n.r FROM new n WHERE n.url IN (SELECT url FROM resp WHERE {_VALID}))
 SELECT line_no, url FROM lst UNION ALL SELECT r + 1 + (SELECT max(line_no) FROM lst), url FROM ok""")
 def merged_feed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = _t(spark, sf_dir, "pages").where("page_id % 3 = 0").select(F.col("page_id").alias("line_no"), "url")
+    listed = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("line_no"), F.concat("url", F.when(F.col("page_id") % 3 == 0, "").otherwise("/old")).alias("url"))
     return D.merge_feed_list(listed, _blogs(spark, sf_dir), _responses(spark, sf_dir))[0].select("line_no", "url")
 
 
@@ -468,12 +469,13 @@ def global_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answers of batches of 15 by doc_id: every 7th is broken, every 5th index is left out, one field in ten is odd."""
+    """Answers of batches of 15 by doc_id: every 7th is broken, every 5th index is text, one field in ten is odd."""
     i = F.col("doc_id")
     field = F.when(i % 10 == 3, '"8"').when(i % 10 == 4, "null").when(i % 10 == 6, "11").when(i % 10 == 7, "2.5").otherwise((i % 9 + 1).cast("string"))
-    item = F.concat(F.lit('{"index":'), i.cast("string"), F.lit(',"relevance":'), field, F.lit(',"quality":'), (i % 10 + 1).cast("string"), F.when(i % 4 == 1, "").otherwise(F.lit(',"timeliness":7')),
+    index = F.when(i % 5 == 0, F.concat(F.lit('"'), i.cast("string"), F.lit('"'))).otherwise(i.cast("string"))
+    item = F.concat(F.lit('{"index":'), index, F.lit(',"relevance":'), field, F.lit(',"quality":'), (i % 10 + 1).cast("string"), F.when(i % 4 == 1, "").otherwise(F.lit(',"timeliness":7')),
                     F.lit(',"category":"'), F.when(i % 3 == 0, "security").otherwise("ML"), F.lit('","keywords":["a","B","c","d","e"],"topic":"  GPT-'), (i % 5).cast("string"), F.lit(' Release! "}'))
-    rows = _t(spark, sf_dir, "labels").where("doc_id % 5 <> 0").select(F.floor(i / 15).alias("batch_id"), F.struct("doc_id", item.alias("item")).alias("s"))
+    rows = _t(spark, sf_dir, "labels").select(F.floor(i / 15).alias("batch_id"), F.struct("doc_id", item.alias("item")).alias("s"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda x: x["item"]), ",")
     text = F.concat(F.lit('```json\n{"results":['), "b", F.when(F.col("batch_id") % 7 == 0, "").otherwise("]}\n```"))
     return rows.groupBy("batch_id").agg(body.alias("b")).select("batch_id", text.alias("response"), F.lit(None).cast("string").alias("error"))
