@@ -216,3 +216,15 @@ def test_digest_from_landed_tables(spark):
     none = spark.createDataFrame([], "batch_id long, response string, error string")
     out = digest_report(lines, responses, answers, none, "Do it.", F.lit("2024-01-30 00:00:00").cast("timestamp")).first().report
     assert "| 2/2 | 3 篇 → 2 篇 | 48h | **2 篇** |" in out and out.index("Kernel news") < out.index("Rust & async") and "⭐ 27/30" in out and "🥇 **Kernel news**" in out and "Do it." in out
+
+
+def test_editions_in_rounds(spark):
+    rows = {e: stories(seed, 40) for e, seed in (("x", 5), ("y", 6), ("z", 7))}
+    rows["w"] = stories(8, 3)
+    df = spark.createDataFrame([(e, *r) for e, rs in rows.items() for r in rs], "edition string, " + STORY).repartition(3)
+    want = {e: plain_walk(rs, 9) for e, rs in rows.items()}
+    for prefix in (12, 200):
+        got = V.select_diverse_editions(df, 9, prefix).orderBy("edition", "rank").collect()
+        for e, (ids, skipped) in want.items():
+            mine = [r for r in got if r.edition == e]
+            assert [r.article_id for r in mine] == ids and [r.rank for r in mine] == list(range(1, len(ids) + 1)) and {r.skipped for r in mine} == {skipped}
