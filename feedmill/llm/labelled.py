@@ -20,11 +20,12 @@ def fold(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, fit_rows: int) -> tuple[list[str], np.ndarray]:
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, fit_rows: int) -> tuple[pa.Array, np.ndarray]:
     """Texts and 0/1 labels of at most fit_rows labelled documents outside the fold held out.
 
-    Rows without doc_id or label are left out; of several labels of a document the largest counts. The
-    sample is the fit_rows ids with the least hashes, the same in every run.
+    Rows without doc_id or label are left out; of several labels of a document the largest counts, of
+    several texts the least. The sample is the fit_rows ids with the least hashes, in that order, the same
+    in every run.
     """
     ids = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out)
@@ -32,8 +33,16 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
-    found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(fit_rows).select("text", "label").toPandas()
-    return found["text"].tolist(), found["label"].to_numpy(dtype=np.float64)
+    found = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select(F.xxhash64("doc_id").alias("h"), "doc_id", "text", "label").toArrow()
+    found = found.sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    return found["text"].combine_chunks(), found["label"].to_numpy().astype(np.float64)
+
+
+def as_texts(texts) -> pa.Array:
+    """A list of texts or an Arrow array as an Arrow array."""
+    if isinstance(texts, pa.ChunkedArray):
+        return texts.combine_chunks()
+    return texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
 
 
 def feature_rows(column: pa.Array, features: Features) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.labelled import feature_rows, fold, score_rows, sigmoid, training_sample
+from feedmill.llm.labelled import as_texts, feature_rows, fold, score_rows, sigmoid, training_sample
 from feedmill.llm.textarrays import U64, byte_prefix, gram_hashes, gram_prefix, hash_ranges, mix, ramp, word_bounds
 
 BITS = 18
@@ -75,12 +75,12 @@ def filled(column: pa.Array) -> pa.Array:
     return pc.fill_null(column, "")
 
 
-def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
+def fit(texts, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and intercept after EPOCHS passes of FTRL-Proximal over batches of BATCH texts in the given order."""
     good = labels.mean() if len(labels) else 1.0
     if not 0 < good < 1:
         return np.zeros(1 << BITS), 5.0 if good else -5.0
-    index, value, at = feature_rows(pa.array(texts, pa.string()), features)
+    texts = filled(as_texts(texts))
     z = np.zeros((1 << BITS) + 1)
     n = np.zeros((1 << BITS) + 1)
     bias = 1 << BITS
@@ -93,13 +93,13 @@ def fit(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     for _ in range(EPOCHS):
         for lo in range(0, len(labels), BATCH):
             hi = min(lo + BATCH, len(labels))
-            part = slice(at[lo], at[hi])
-            row = np.repeat(np.arange(hi - lo), np.diff(at[lo : hi + 1]))
-            used, code = np.unique(np.append(index[part], bias), return_inverse=True)
+            index, value, at = feature_rows(texts.slice(lo, hi - lo), features)
+            row = np.repeat(np.arange(hi - lo), np.diff(at))
+            used, code = np.unique(np.append(index, bias), return_inverse=True)
             w = weights(used)
-            score = np.bincount(row, weights=w[code[:-1]] * value[part], minlength=hi - lo) + w[-1] + start
-            error = (sigmoid(score) - labels[lo:hi])
-            slope = np.bincount(code[:-1], weights=error[row] * value[part], minlength=len(used))
+            score = np.bincount(row, weights=w[code[:-1]] * value, minlength=hi - lo) + w[-1] + start
+            error = sigmoid(score) - labels[lo:hi]
+            slope = np.bincount(code[:-1], weights=error[row] * value, minlength=len(used))
             slope[-1] = error.sum()
             sigma = (np.sqrt(n[used] + slope**2) - np.sqrt(n[used])) / ALPHA
             z[used] += slope - sigma * w

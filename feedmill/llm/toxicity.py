@@ -18,14 +18,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.labelled import feature_rows, fold, row_sums, score_rows, sigmoid, training_sample
-from feedmill.llm.textarrays import NOT_ALNUM, U64, byte_prefix, hash_ranges, word_bounds
+from feedmill.llm.labelled import as_texts, fold, row_sums, score_rows, sigmoid, training_sample
+from feedmill.llm.textarrays import NOT_ALNUM, U64, byte_prefix, hash_ranges, pieces, word_bounds
 
 BITS = 18
 PREFIX = 4
 THRESHOLD = 0.7
 #: Labelled documents that the fit uses at most.
-FIT_ROWS = 12_000
+FIT_ROWS = 8_000
 L1, L2 = 2e-4, 1e-5
 COUNTERFACTUAL = 1.0
 STEPS = 120
@@ -62,20 +62,36 @@ def lowered(column: pa.Array) -> pa.Array:
     return pc.utf8_lower(pc.fill_null(column, ""))
 
 
-def fit(texts: list[str], labels: np.ndarray, groups=IDENTITY_TERMS, counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> tuple[np.ndarray, float]:
+def _buckets(lower: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets as 32-bit numbers and the texts' offsets among them."""
+    parts = [features(data, off) for _, _, data, off in pieces(lower)]
+    index = np.concatenate([np.zeros(0, np.int32), *[i.astype(np.int32) for i, _, _ in parts]])
+    return index, np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *[np.diff(at) for _, _, at in parts]]))]).astype(np.int64)
+
+
+def counterfactuals(lower: pa.Array, groups=IDENTITY_TERMS) -> tuple[np.ndarray, pa.Array]:
+    """Numbers of the texts that name a group, and those texts with the terms swapped."""
+    named = np.flatnonzero(pc.match_substring_regex(lower, r"\b(?:" + "|".join(re.escape(t) for g in groups for t in g) + r")\b").to_numpy(zero_copy_only=False))
+    return named, pa.array([swap_terms(t, groups) for t in lower.take(pa.array(named)).to_pylist()], pa.string())
+
+
+def fit(texts, labels: np.ndarray, groups=IDENTITY_TERMS, counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Weights and intercept by accelerated proximal gradient steps on the whole sample."""
     rare = labels.mean() if len(labels) else 0.0
     if not 0 < rare < 1:
         return np.zeros(1 << BITS), -5.0 if rare == 0 else 5.0
-    lower = [t.lower() for t in texts]
-    changed = [(k, s) for k, t in enumerate(lower) if (s := swap_terms(t, groups)) != t]
-    index, _, at = feature_rows(pa.array(lower, pa.string()), features)
-    cf_index, _, cf_at = feature_rows(pa.array([s for _, s in changed], pa.string()), features)
-    pick = np.array([k for k, _ in changed], dtype=np.int64)
-    used, inverse = np.unique(np.concatenate([index, cf_index]), return_inverse=True)
-    index, cf_index = inverse[: len(index)], inverse[len(index) :]
-    row = np.repeat(np.arange(len(labels)), np.diff(at))
-    cf_row = np.repeat(np.arange(len(pick)), np.diff(cf_at))
+    lower = lowered(as_texts(texts))
+    pick, changed = counterfactuals(lower, groups)
+    index, at = _buckets(lower)
+    cf_index, cf_at = _buckets(changed)
+    # number the buckets that occur
+    seen = np.zeros(1 << BITS, dtype=bool)
+    seen[index] = seen[cf_index] = True
+    used = np.flatnonzero(seen)
+    number = np.cumsum(seen, dtype=np.int32) - np.int32(1)
+    index, cf_index = number[index], number[cf_index]
+    row = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(at))
+    cf_row = np.repeat(np.arange(len(pick), dtype=np.int32), np.diff(cf_at))
     n, width = len(labels), len(used)
     # a diagonal bound of the curvature gives each weight its own step; the mean text size makes it safe
     seen = np.bincount(index, minlength=width) + 2 * counterfactual * np.bincount(cf_index, minlength=width)
@@ -139,8 +155,6 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None
     def keep(batches):
         weights, intercept = model.value
         for batch in batches:
-            from feedmill.llm.textarrays import pieces
-
             scores = [np.zeros(0)]
             for _, _, data, off in pieces(lowered(batch.column(place))):
                 index, value, at = features(data, off)
