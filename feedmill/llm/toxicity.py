@@ -26,7 +26,7 @@ PREFIX = 4
 THRESHOLD = 0.7
 #: Labelled documents that the fit uses at most.
 FIT_ROWS = 8_000
-L1, L2 = 2e-4, 1e-5
+L1, L2 = 1e-4, 1e-5
 COUNTERFACTUAL = 1.0
 STEPS = 120
 
