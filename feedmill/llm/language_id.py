@@ -23,7 +23,7 @@ SMOOTHING = 0.1
 #: Most languages that a model may have; with 2^15 buckets it stays under 70 MB.
 MAX_LANGS = 512
 #: Code points in one vectorised step.
-STEP = 1 << 20
+STEP = 1 << 19
 
 
 def _letter_table() -> np.ndarray:
@@ -51,9 +51,7 @@ def grams(points: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
     """
     letters = is_letter(points)
     folded = np.where(letters, points, np.uint32(32))
-    last = np.zeros(len(points) + 1, dtype=np.int64)
-    last[at[1:]] = 1
-    owner_end = at[1:][np.searchsorted(at[1:], np.arange(len(points)), "right")] if len(points) else at[:0]
+    left = np.repeat(at[1:], np.diff(at)) - np.arange(len(points))  # code points from each one to the end of its text
     key = np.zeros(len(points), dtype=np.uint32)
     for n in range(1, max(ORDERS) + 1):
         shifted = np.zeros(len(points), dtype=np.uint32)
@@ -61,7 +59,7 @@ def grams(points: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.n
             shifted[: len(points) - n + 1] = folded[n - 1 :]
         key = (key ^ shifted) * np.uint32(0x9E3779B1) + np.uint32(n)
         if n in ORDERS:
-            ok = np.arange(len(points)) + n <= owner_end
+            ok = left >= n
             if n == 1:
                 ok &= letters
             where = np.flatnonzero(ok)

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 U64 = np.uint64
 #: Bytes of text that one vectorised step holds; a longer text is a step of its own.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15
 _WORD_BASE = 0xD1342543DE82EF95
 
@@ -53,7 +53,7 @@ def _grown(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of base and of its inverse modulo 2^64, n of each at least."""
-    return _grown(base, max(22, int(n).bit_length()))
+    return _grown(base, max(20, int(n).bit_length()))
 
 
 def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
