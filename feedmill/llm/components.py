@@ -15,18 +15,22 @@ from feedmill.llm.scratch import written
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
-    if large:
-        both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    both = written(both)
+    """One round over a written table of links a > b."""
+    both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else links
     least = written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
     met = both.join(least, "a")
     if large:
         out = met.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-    return out.where("a <> b").distinct()
+    return written(out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+
+
+def _stars_only(links: DataFrame) -> bool:
+    """Whether every node but the centres has one link, to a centre."""
+    centres = links.select("b", F.lit(True).alias("centre")).distinct()
+    seen = links.groupBy("a").agg(F.count("*").alias("n"))
+    return not seen.join(centres, seen["a"] == centres["b"], "left").where("n > 1 or centre").limit(1).count()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -35,13 +39,8 @@ def components(links: DataFrame) -> DataFrame:
     Null ends and links of a node to itself are left out; an empty table gives an empty one.
     """
     links = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    mark = None
-    while True:
-        now = links.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if tuple(now) == mark or not now[0]:
-            break
-        mark = tuple(now)
-        links = written(_star(written(_star(links, large=True)), large=False))
+    while not _stars_only(links):
+        links = _star(_star(links, large=True), large=False)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
         links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )

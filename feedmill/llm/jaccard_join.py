@@ -8,7 +8,7 @@
    probability that its Jaccard index reaches the threshold falls below a tolerance (Satuluri and
    Parthasarathy, "Bayesian Locality Sensitive Hashing for Fast Similarity Search", 2012).
 4. The rest is verified exactly from the whole shingle sets. A task returns each set's number of links
-   and a spanning forest of its links, never the pairs.
+   and a star for each of its components, never the pairs.
 
 Bands of 5 in 40 lose a pair at the threshold 0.8 with a chance of 1.3e-7; the pruning at most 1e-6.
 """
@@ -131,7 +131,8 @@ def jaccard(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return met / (sizes[i] + sizes[j] - met)
 
 
-def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+def _stars(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
+    """Each linked row with the first row of its component, but for that row itself."""
     root = list(range(n))
 
     def find(x: int) -> int:
@@ -140,17 +141,15 @@ def _forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    out = []
     for a, b in zip(i.tolist(), j.tolist(), strict=True):
         x, y = find(a), find(b)
-        if x != y:
-            root[max(x, y)] = min(x, y)
-            out.append((a, b))
-    return out
+        root[max(x, y)] = min(x, y)
+    return [(x, find(x)) for x in range(n) if find(x) != x]
 
 
 def _link_task(threshold: float, tolerance: float):
     def links(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values("rep", ignore_index=True)
         ids = block["rep"].to_numpy()
         sets = [np.frombuffer(x, dtype="<u8").astype(U64) for x in block["shingles"]]
         at = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int64)
@@ -159,7 +158,7 @@ def _link_task(threshold: float, tolerance: float):
             keep = jaccard(sets, i, j) >= threshold - 1e-12
             i, j = i[keep], j[keep]
         n = np.bincount(np.concatenate([i, j]), minlength=len(ids))
-        tree = _forest(len(ids), i, j)
+        tree = _stars(len(ids), i, j)
         linked = np.flatnonzero(n)
         return pd.DataFrame(
             {
@@ -173,7 +172,7 @@ def _link_task(threshold: float, tolerance: float):
 
 
 def similar_sets(docs: DataFrame, reps: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """Links among candidate sets. reps: rep, bands. Returns rows (a, a, number of links) and (a, b, 0), the latter a spanning forest of each block."""
+    """Links among candidate sets. reps: rep, bands. Returns rows (a, a, number of links) and (a, b, 0), the latter a star for each component of a block."""
     met = reps.select("rep", F.explode("bands").alias("band"))
     bands = written(met.groupBy("band").agg(F.min("rep").alias("least"), F.max("rep").alias("most")).where("least < most").select("band", "least"))
     stars = written(met.join(bands, "band").where("rep > least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct())
@@ -218,7 +217,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs without all but the least doc_id of each class; equal rows become one. Rows with null doc_id, null or empty text stay."""
     classes = near_duplicates(docs, threshold)
     kept = written(classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n_rows")))
-    out = docs.join(kept, "doc_id").drop("n_rows").select(*docs.columns)
+    out = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     if kept.where("n_rows > 1").limit(1).count():
         out = out.dropDuplicates(["doc_id"])
     return out.unionByName(docs.where("doc_id is null"))
