@@ -2,7 +2,8 @@
 
 A text of n tokens in a bucket with upper bound u is padded by u - n. One aggregate counts the texts of
 each length; dynamic programming over that histogram finds the bounds with the least padding in all. The
-histogram has a row for each length that occurs, never one for each text. Inside a bucket, texts stand in
+histogram has a row for each length that occurs, never one for each text; it and the counts of at most
+20,000 shares are what the driver sees. Inside a bucket, texts stand in
 order of length and fill batches of floor(budget / u) texts. Ranks in a bucket come from counts of small
 shares of it, so a bucket is never sorted in one task.
 """
@@ -17,8 +18,8 @@ from feedmill.llm.scratch import written
 
 BUCKETS = 16
 BUDGET = 32_768
-#: Rows of a bucket that are ranked together, about.
-SHARE = 5_000
+#: Rows that are ranked together, about; more where that would make over MOST_SHARES shares.
+SHARE, MOST_SHARES = 5_000, 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -88,8 +89,9 @@ def pack(docs: DataFrame, n_tokens: Column | None = None, buckets: int = BUCKETS
     edges = F.array(*[F.lit(b) for b in bounds])
     bucket = F.aggregate(edges, F.lit(0), lambda n, b: n + F.when(F.col("n_tokens") > b, 1).otherwise(0))
     # a share is a run of lengths, or of doc_id hashes where one length alone has too many texts
-    cut = np.maximum(np.ceil(counts / SHARE), 1).astype(int)
-    group = np.cumsum(counts) // SHARE
+    share = max(SHARE, int(counts.sum()) // MOST_SHARES)
+    cut = np.maximum(np.ceil(counts / share), 1).astype(int)
+    group = np.cumsum(counts) // share
     steps = written(docs.sparkSession.createDataFrame(list(zip(lengths.tolist(), group.tolist(), cut.tolist(), strict=True)), "n_tokens long, run long, pieces int")) if len(lengths) else None
     if steps is None:
         return sized.select("doc_id", "n_tokens", F.lit(0).alias("bucket"), F.lit(0).cast("long").alias("padded_to"), F.lit(0).cast("long").alias("batch"), F.lit(0).cast("long").alias("slot")).limit(0)
