@@ -30,6 +30,8 @@ LEAST_WORDS = 8
 #: Share of an item's words that a text must hold in place. A word put into a passage halves what lies on one diagonal.
 OVERLAP = 0.5
 FILTER_BITS = 23
+#: Where the two bits of a hash stand that must both be set.
+FILTER_SHIFTS = (64 - FILTER_BITS, 64 - 2 * FILTER_BITS)
 
 
 def seed_hashes(words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -83,10 +85,12 @@ def _text_hits_task(table, reach: int):
             for lo, _, words, at in _lower_words(batch.column(1)):
                 seeds, places = [], []
                 for _, where, hashes in seed_hashes(words, at):
-                    slot = hashes >> U64(64 - FILTER_BITS)
-                    ok = (known[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & np.uint8(1) > 0
-                    seeds.append(hashes[ok])
-                    places.append(where[ok])
+                    for shift in FILTER_SHIFTS:
+                        slot = (hashes >> U64(shift)) & U64((1 << FILTER_BITS) - 1)
+                        ok = (known[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & np.uint8(1) > 0
+                        where, hashes = where[ok], hashes[ok]
+                    seeds.append(hashes)
+                    places.append(where)
                 if not seeds or not sum(map(len, seeds)):
                     continue
                 seed, place = np.concatenate(seeds), np.concatenate(places)
@@ -116,8 +120,9 @@ def _text_hits_task(table, reach: int):
 
 
 def _filter_of(seeds: DataFrame) -> np.ndarray:
-    """Bit array over the leading bits of all seeds, built from at most 2^FILTER_BITS distinct numbers."""
-    slots = seeds.select(F.shiftrightunsigned("seed", 64 - FILTER_BITS).cast("int").alias("slot")).distinct().toPandas()["slot"].to_numpy()
+    """Bit array with two bits for each seed, built from at most 2^FILTER_BITS distinct numbers."""
+    both = F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int") for s in FILTER_SHIFTS])
+    slots = seeds.select(F.explode(both).alias("slot")).distinct().toPandas()["slot"].to_numpy()
     bits = np.zeros(1 << FILTER_BITS, dtype=bool)
     bits[slots] = True
     return np.packbits(bits, bitorder="little")
