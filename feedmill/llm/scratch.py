@@ -8,17 +8,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _written: list[str] = []
+_own: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or where that is unset, as in tests, a new temporary folder."""
+    """spark.checkpoint.dir, or where that is unset and one machine runs all, as in tests, a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    if not _own:
+        _own.append("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+    return _own[0]
 
 
 def written(df: DataFrame, keep: bool = False) -> DataFrame:

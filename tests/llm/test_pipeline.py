@@ -29,3 +29,30 @@ def test_stages_keep_the_columns_and_equal_the_operators(spark):
 def test_five_stages():
     assert [n for n, _ in P.STAGES] == ["toxicity", "ngram_jaccard_join", "benchmark_decontamination", "secret_scans", "packing"]
     assert P.ORACLE_SQL is None
+
+
+def _tables(spark, path, rows, labels, items):
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, spans string, n_rows long").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    item = " ".join(f"bench{k}" for k in range(30))
+    story = lambda seed, n=60: " ".join(f"w{seed}x{k}" for k in range(n))
+    rows = [(None, None, None, None, None, None, None), (1, None, "en", "s", 0, "x", 1), (2, "", None, "s", 0, "x", 1), (None, story(1), "en", None, 1, "x", 1)]
+    rows += [(3, story(2), "en", "s", 1, "x", 1)] * 2 + [(4, story(2), "en", "s", 1, "x", 1), (5, f"{story(3)} {item}", "en", "s", 1, "x", 1), (6, "token=" + "ab12" * 8 + " " + story(4), "en", "s", 1, "x", 1)]
+    rows += [(7, story(5, 40_000), "en", "s", 1, "x", 1)] + [(100 + k, f"{story(200 + k)} idiot scum" if k % 2 else story(200 + k), "en", "s", 1, "x", 1) for k in range(120)]
+    labels = [(100 + k, 1, k % 2) for k in range(120)] + [(None, 1, 1), (1, None, None)]
+    _tables(spark, tmp_path / "a", rows, labels, [(0, item), (None, None), (1, "short one")])
+    out = P.run(spark, str(tmp_path / "a")).collect()
+    ids = sorted(r.doc_id for r in out if r.doc_id is not None)
+    assert [i for i in ids if i < 100] == [1, 2, 3, 6, 7] and not [i for i in ids if i >= 100 and i % 2] and len([i for i in ids if i >= 100]) == 60
+    assert sum(r.doc_id is None for r in out) == 2
+    docs = spark.read.parquet(f"{tmp_path}/a/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path / "a")).schema == docs.schema
+    masked = {r.doc_id: r.text for r in P.mask_secrets(spark, docs, str(tmp_path / "a")).collect()}
+    assert masked[6].startswith("[SECRET] w4x0") and masked[7] == story(5, 40_000)
+    _tables(spark, tmp_path / "b", [], [], [])
+    assert P.run(spark, str(tmp_path / "b")).count() == 0
