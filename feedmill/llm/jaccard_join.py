@@ -215,9 +215,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs without all but the least doc_id of each class; equal rows become one. Rows with null doc_id, null or empty text stay."""
-    classes = near_duplicates(docs, threshold)
-    kept = written(classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n_rows")))
-    out = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    if kept.where("n_rows > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
-    return out.unionByName(docs.where("doc_id is null"))
+    classes = written(near_duplicates(docs, threshold).select("doc_id", "class_id"))
+    gone = written(classes.where("doc_id <> class_id").select("doc_id").distinct())  # the smaller side by far
+    out = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    if not classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        return out
+    return out.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(out.where("doc_id is null"))
