@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.textarrays import minhashes, pieces, shingles
@@ -109,23 +110,30 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 4 * tasks  # several to a task, so that tasks are of one size
     cuts = base.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("k")).select(F.percentile_approx("k", F.array(*[F.lit((i + 1) / parts) for i in range(parts - 1)]) if parts > 1 else F.array(F.lit(0.5)), 20000)).first()[0]
     if not cuts:
         return base.limit(0).mapInArrow(lambda batches: (b for b in batches if False), _COMPARED)
     # part p holds the ids above its cut; parts are numbered from the largest ids on
-    bounds = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    key = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    part = F.aggregate(bounds, F.lit(0), lambda n, c: n + F.when(key <= c, 1).otherwise(0))
-    placed = base.withColumn("part", part)
+    placed = base.withColumn("part", _part(F.coalesce("doc_id", F.lit(-(1 << 63))), sorted(set(cuts))))
     tops = placed.groupBy("part").agg(F.max("doc_id").alias("top")).collect()  # a row for each part
     order = sorted(r.part for r in tops)
     before = {p: order[i - 1] for i, p in enumerate(order)}
     heads = spark.createDataFrame([(r.part, r.top, before[r.part]) for r in tops], "part int, top long, goes_to int")
     first = placed.join(F.broadcast(heads), (placed["part"] == heads["part"]) & placed["doc_id"].eqNullSafe(heads["top"])).groupBy("goes_to").agg(F.min(F.struct("doc_id", "text")).alias("r"))
     rows = placed.select("doc_id", "text", "part", F.lit(False).alias("extra")).union(first.select("r.doc_id", "r.text", F.col("goes_to").alias("part"), F.lit(True).alias("extra")))
-    dealt = rows.repartition(parts, "part").sortWithinPartitions("part", "extra", F.desc_nulls_last("doc_id"), "text")
+    dealt = rows.repartition(tasks, "part").sortWithinPartitions("part", "extra", F.desc_nulls_last("doc_id"), "text")
     return dealt.mapInArrow(_compared, _COMPARED)
 
 
+def _part(key: Column, cuts: list[int]) -> Column:
+    """How many of the ascending cuts are not below key, looked up in blocks of about their square root."""
+    wide = max(1, math.isqrt(len(cuts)))
+    below = lambda values: F.aggregate(values, F.lit(0), lambda n, c: n + F.when(c < key, 1).otherwise(0))
+    array = lambda values: F.array(*[F.lit(c) for c in values]).cast("array<bigint>")
+    blocks = below(array(cuts[wide - 1 :: wide]))
+    return F.lit(len(cuts)) - blocks * wide - below(F.slice(array(cuts), blocks * wide + 1, wide))
+
+
 _COMPARED = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
