@@ -19,26 +19,25 @@ from pyspark.sql import functions as F
 from feedmill.llm.scratch import written
 from feedmill.llm.textarrays import NOT_ALNUM, U64, int64, mix, pieces, word_hashes
 
-#: Words that a mask looks at, 8 of 13 to 15. The gaps differ, so that a few replaced words spare one of them somewhere.
-MASKS = ((0, 1, 2, 4, 7, 9, 12, 13), (0, 2, 3, 5, 6, 9, 11, 12), (0, 1, 4, 5, 8, 10, 13, 14))
-#: A run of words for items that are too short for all masks.
-SHORT_MASK = (0, 1, 2, 3, 4)
-#: Items with fewer words than this need the short mask.
-FULL_WORDS = max(m[-1] for m in MASKS) + 1
+#: Words that a mask looks at, 4 of at most 8. Together they hit wherever up to 4 words of 15 or more, or 3 of 8, were replaced.
+MASKS = (
+    (0, 1, 2, 3), (0, 1, 2, 4), (0, 2, 3, 5), (0, 1, 4, 5), (0, 2, 4, 5),
+    (0, 1, 6, 7), (0, 3, 4, 7), (0, 2, 5, 7), (0, 3, 5, 7),
+)
 #: Items with fewer words are too short to tell.
-LEAST_WORDS = 8
+LEAST_WORDS = max(m[-1] for m in MASKS) + 1
 #: Share of an item's words that a text must hold in place. A word put into a passage halves what lies on one diagonal.
 OVERLAP = 0.5
 FILTER_BITS = 23
-#: Where the two bits of a hash stand that must both be set.
-FILTER_SHIFTS = (64 - FILTER_BITS, 64 - 2 * FILTER_BITS)
+#: Where the three bits of a hash stand that must all be set.
+FILTER_SHIFTS = (64 - FILTER_BITS, 64 - 2 * FILTER_BITS, 0)
 
 
-def seed_hashes(words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each mask its number, the words at which it fits into a text, and its hashes there."""
+def seed_hashes(words: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each mask the words at which it fits into a text, and its hashes there."""
     n = len(words)
     end = np.repeat(at[1:], np.diff(at))
-    for k, mask in enumerate((*MASKS, SHORT_MASK)):
+    for k, mask in enumerate(MASKS):
         where = np.flatnonzero(np.arange(n) + mask[-1] < end)
         if not len(where):
             continue
@@ -46,7 +45,7 @@ def seed_hashes(words: np.ndarray, at: np.ndarray) -> Iterator[tuple[int, np.nda
         for j in mask:
             total *= U64(0xC6A4A7935BD1E995)
             total ^= words[j : n - mask[-1] + j]
-        yield k, where, mix(total[where])
+        yield where, mix(total[where])
 
 
 def _lower_words(column: pa.Array):
@@ -63,8 +62,8 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, _, words, at in _lower_words(batch.column(1)):
             n = np.diff(at)
             row = np.repeat(np.arange(len(n)), n)
-            for k, where, hashes in seed_hashes(words, at):
-                fits = (n[row[where]] >= LEAST_WORDS) & ((k < len(MASKS)) | (n[row[where]] < FULL_WORDS))
+            for where, hashes in seed_hashes(words, at):
+                fits = n[row[where]] >= LEAST_WORDS
                 where, hashes = where[fits], hashes[fits]
                 r = row[where]
                 yield pa.record_batch([int64(hashes), ids.take(pa.array(r + lo)), pa.array(where - at[r])], ["seed", "item_id", "place"])
@@ -84,7 +83,7 @@ def _text_hits_task(table, reach: int):
             ids = batch.column(0)
             for lo, _, words, at in _lower_words(batch.column(1)):
                 seeds, places = [], []
-                for _, where, hashes in seed_hashes(words, at):
+                for where, hashes in seed_hashes(words, at):
                     for shift in FILTER_SHIFTS:
                         slot = (hashes >> U64(shift)) & U64((1 << FILTER_BITS) - 1)
                         ok = (known[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & np.uint8(1) > 0
@@ -120,7 +119,7 @@ def _text_hits_task(table, reach: int):
 
 
 def _filter_of(seeds: DataFrame) -> np.ndarray:
-    """Bit array with two bits for each seed, built from at most 2^FILTER_BITS distinct numbers."""
+    """Bit array with three bits for each seed, built from at most 2^FILTER_BITS distinct numbers."""
     both = F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int") for s in FILTER_SHIFTS])
     slots = seeds.select(F.explode(both).alias("slot")).distinct().toPandas()["slot"].to_numpy()
     bits = np.zeros(1 << FILTER_BITS, dtype=bool)
@@ -135,8 +134,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
     (words in place) and share (of the item's words, at least overlap). Words are runs of letters and digits
     in lower case. Where an item is found more than once in a text, the best place counts, then the first.
 
-    Items of 8 to 14 words must share a run of five words with a text. Shorter items are left out, as are
-    null and empty texts and rows with null ids. Equal rows are one text. Other columns are ignored. Empty tables give an empty one.
+    A text and an item must agree in the words of one mask: they do wherever at most 4 words of 15 or more,
+    or 3 of 8 to 14, were replaced. Items of fewer than 8 words are left out, as are null and empty texts and
+    rows with null ids. Equal rows are one text. Other columns are ignored. Empty tables give an empty one.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()

@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from feedmill.llm import decontamination as D
 
@@ -55,3 +56,21 @@ def test_empty_tables(spark):
     assert D.contamination(d.where("doc_id > 1"), b).count() == 0
     assert D.contamination(d, b.where("item_id > 1")).count() == 0
     assert D.drop_contaminated(d, b).count() == 1
+
+
+def found(spark, docs, items):
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in D.contamination(d, b).collect()}
+
+
+def test_replaced_and_put_in_words_at_every_place(spark):
+    """2 to 4 replaced words of 15 to 24, 2 or 3 of 8, and one put-in word: nothing is lost, as all shares are over OVERLAP."""
+    items = {n: [f"w{n}x{j}" for j in range(n)] for n in (8, *range(15, 25))}
+    docs = []
+    for n, v in items.items():
+        for r in (2, 3, 4) if n > 8 else (2, 3):
+            for places in combinations(range(n), r):
+                docs.append((len(docs) * 100 + n, " ".join("other" if j in places else x for j, x in enumerate(v))))
+        docs += [(len(docs) * 100 + i * 1000000000 + n, " ".join([*v[:i], "other", *v[i:]])) for i in range(1, n)]
+    assert found(spark, docs, [(n, " ".join(v)) for n, v in items.items()]) == {(i, i % 100) for i, _ in docs}
