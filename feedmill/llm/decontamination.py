@@ -3,8 +3,9 @@
 A mask looks at some of the words of a span and ignores the others, so a seed still hits where ignored
 words were replaced (Ma et al., "PatternHunter", 2002). Hashes of all masks at all words of the texts
 are first held against a bit array of the benchmark's hashes, whose size is fixed (1 MB). What passes is
-joined with the benchmark's hashes in Spark and each hit is verified along its diagonal: the text and the
-item are laid over each other and must agree in most words of the item.
+joined with the benchmark's hashes in Spark and the hits of a text and an item are verified together: the
+text and the item are laid over each other at all hits, and the words that agree on nearby diagonals are
+chained in order. They must be half of the item's words or hold a long passage of it.
 """
 
 from __future__ import annotations
@@ -26,8 +27,10 @@ MASKS = (
 )
 #: Items with fewer words are too short to tell.
 LEAST_WORDS = max(m[-1] for m in MASKS) + 1
-#: Share of an item's words that a text must hold in place. A word put into a passage halves what lies on one diagonal.
+#: Share of an item's words that a text must hold in order.
 OVERLAP = 0.5
+#: A passage of an item also counts if so many more of its words are held in order than not.
+PASSAGE = 20
 FILTER_BITS = 23
 #: Where the three bits of a hash stand that must all be set.
 FILTER_SHIFTS = (64 - FILTER_BITS, 64 - 2 * FILTER_BITS, 0)
@@ -127,12 +130,82 @@ def _filter_of(seeds: DataFrame) -> np.ndarray:
     return np.packbits(bits, bitorder="little")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP) -> DataFrame:
-    """Texts that hold a benchmark item, up to replaced words: one row for each text and item.
+def _same(item: np.ndarray, around: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """For each offset of the item in the text, which of the item's words lie on the same words."""
+    n = len(item)
+    known = np.zeros(len(around) + 2 * n, dtype=bool)
+    known[n : n + len(around)] = True
+    padded = np.zeros(len(known), dtype=around.dtype)
+    padded[n : n + len(around)] = around
+    out = np.empty((len(offsets), n), dtype=bool)
+    step = max(1, (1 << 20) // n)
+    for k in range(0, len(offsets), step):
+        at = offsets[k : k + step] + n
+        out[k : k + step] = (np.lib.stride_tricks.sliding_window_view(padded, n)[at] == item) & np.lib.stride_tricks.sliding_window_view(known, n)[at]
+    return out
 
-    Returns doc_id, item_id, first_word (where the item's first word lies or would lie in the text), n_match
-    (words in place) and share (of the item's words, at least overlap). Words are runs of letters and digits
-    in lower case. Where an item is found more than once in a text, the best place counts, then the first.
+
+def chained(same: np.ndarray, offsets: np.ndarray) -> tuple[int, int]:
+    """The most item words that lie in order on the text's words, and the most that a passage of the item has of them less its others.
+
+    same has a row for each offset (ascending). A word of the text counts once.
+    """
+    n = same.shape[1]
+    if len(offsets) == 1:
+        steps = np.concatenate(([0], np.cumsum(np.where(same[0], 1, -1))))
+        return int(same.sum()), int((steps - np.minimum.accumulate(steps)).max())
+    # at t: the best chain over the words of the text before t and the words of the item so far
+    whole = np.zeros(offsets[-1] - offsets[0] + n + 1, dtype=np.int64)
+    passage, top = whole.copy(), 0
+    for i in range(n):
+        at = (offsets - offsets[0] + i)[same[:, i]]
+        more, longer = whole[at] + 1, passage[at] + 1
+        passage = np.maximum(passage - 1, 0)
+        if len(at):
+            whole[at + 1] = np.maximum(whole[at + 1], more)
+            passage[at + 1] = np.maximum(passage[at + 1], longer)
+            np.maximum.accumulate(whole, out=whole)
+            np.maximum.accumulate(passage, out=passage)
+            top = max(top, int(passage[-1]))
+    return int(whole[-1]), top
+
+
+def _verify_task(overlap: float, least: int):
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(doc_id, item_id, first_word, n_match, share) of the groups of nearby diagonals that have enough words."""
+        for batch in batches:
+            doc, item_id, firsts, around, starts, items = batch.columns
+            rows = []
+            for r in range(batch.num_rows):
+                first, item, text, start = firsts[r].as_py(), *(c[r].values.to_numpy() for c in (items, around, starts))
+                n = len(item)
+                # diagonals at most the item's length apart are one group
+                for group in np.split(start, np.flatnonzero(np.diff(start) > n) + 1):
+                    same = _same(item, text, group - first)
+                    if same.any(0).sum() < min(overlap * n, least):
+                        continue
+                    n_match, top = chained(same, group)
+                    if n_match / n >= overlap or top >= least:
+                        rows.append((r, int(group[same.sum(1).argmax()]), n_match, n_match / n))
+            r, first_word, n_match, share = zip(*rows, strict=True) if rows else ((),) * 4
+            r = pa.array(r, pa.int64())
+            yield pa.record_batch(
+                [doc.take(r), item_id.take(r), pa.array(first_word, pa.int64()), pa.array(n_match, pa.int64()), pa.array(share, pa.float64())],
+                ["doc_id", "item_id", "first_word", "n_match", "share"],
+            )
+
+    return verify
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP, passage: int = PASSAGE) -> DataFrame:
+    """Texts that hold a benchmark item, up to replaced, added and dropped words: one row for each text and item.
+
+    Returns doc_id, item_id, first_word (where the item's first word lies or would lie in the text, by the
+    diagonal with most words, then the first), n_match (words in order) and share (of the item's words).
+    Diagonals with a seed that are at most the item's length apart are added up; each word of the text counts
+    once. The share is at least overlap, or a passage of the item has at least passage more words in order
+    than others. Words are runs of letters and digits in lower case. Where an item is found more than once in a
+    text, the best place counts, then the first.
 
     A text and an item must agree in the words of one mask: they do wherever at most 4 words of 15 or more,
     or 3 of 8 to 14, were replaced. Items of fewer than 8 words are left out, as are null and empty texts and
@@ -142,20 +215,18 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
     seeds = written(items.mapInArrow(_item_seeds, "seed long, item_id long, place long"))
     item_words = written(items.mapInArrow(_item_words, "item_id long, item array<long>"))
-    reach = item_words.agg(F.max(F.size("item"))).first()[0] or 0  # words on either side of a hit that a verification can need
+    reach = 2 * (item_words.agg(F.max(F.size("item"))).first()[0] or 0)  # words on either side of a hit that a verification can need
     table = spark.sparkContext.broadcast(_filter_of(seeds))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     regions = written(texts.mapInArrow(_text_hits_task(table, reach), "doc_id long, first long, around array<long>, hits array<struct<seed: long, word: long>>").withColumn("region", F.xxhash64("doc_id", "first", "around")))
     hits = regions.select("doc_id", "region", F.explode("hits").alias("h")).select("doc_id", "region", "h.seed", "h.word")
-    laid = written(hits.join(seeds, "seed").select("doc_id", "region", "item_id", (F.col("word") - F.col("place")).alias("start")).distinct())
+    laid = written(hits.join(seeds, "seed").groupBy("doc_id", "region", "item_id").agg(F.sort_array(F.collect_set(F.col("word") - F.col("place"))).alias("starts")))
     met = laid.join(regions.select("doc_id", "region", "first", "around").dropDuplicates(["doc_id", "region"]), ["doc_id", "region"]).join(item_words, "item_id")
-    # the item's words beside the text's words at the same places
-    offset = F.col("start") - F.col("first")
-    beside = F.when(offset >= 0, F.slice("around", (offset + 1).cast("int"), F.size("item"))).otherwise(
-        F.concat(F.array_repeat(F.lit(None).cast("long"), (-offset).cast("int")), F.slice("around", 1, F.greatest(F.size("item") + offset.cast("int"), F.lit(0))))
-    )
-    n_match = F.size(F.filter(F.zip_with("item", beside, lambda a, b: a == b), lambda same: F.coalesce(same, F.lit(False))))
-    scored = met.select("doc_id", "item_id", F.col("start").alias("first_word"), n_match.cast("long").alias("n_match"), F.size("item").alias("n")).withColumn("share", F.col("n_match") / F.col("n")).where(F.col("share") >= overlap)
+    # the text's words at the places of the item's, from the first diagonal to the last
+    skip = F.greatest(F.col("starts")[0] - F.col("first"), F.lit(0))
+    length = F.element_at("starts", -1) + F.size("item") - F.col("first") - skip
+    cut = met.select("doc_id", "item_id", (F.col("first") + skip).alias("first"), F.slice("around", (skip + 1).cast("int"), length.cast("int")).alias("around"), "starts", "item")
+    scored = cut.mapInArrow(_verify_task(overlap, passage), "doc_id long, item_id long, first_word long, n_match long, share double")
     best = scored.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_match", (-F.col("first_word")).alias("back"), "share")).alias("b"))
     return best.select("doc_id", "item_id", (-F.col("b.back")).alias("first_word"), "b.n_match", "b.share")
 

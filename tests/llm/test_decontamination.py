@@ -74,3 +74,24 @@ def test_replaced_and_put_in_words_at_every_place(spark):
                 docs.append((len(docs) * 100 + n, " ".join("other" if j in places else x for j, x in enumerate(v))))
         docs += [(len(docs) * 100 + i * 1000000000 + n, " ".join([*v[:i], "other", *v[i:]])) for i in range(1, n)]
     assert found(spark, docs, [(n, " ".join(v)) for n, v in items.items()]) == {(i, i % 100) for i, _ in docs}
+
+
+def test_words_on_shifted_diagonals_add_up(spark):
+    v = [f"w{j}" for j in range(45)]
+    long = [f"x{j}" for j in range(59)]
+    twice = [*"abcdefghij", *"abcdefghij", *"klmnopqrst"]
+    noise = [f"n{j}" for j in range(300)]
+    docs = {
+        1: [*noise[:9], *v[:15], "put", *v[15:30], "in", *v[30:], *noise[9:]],  # two put-in words: 15/45 on each diagonal
+        2: v[:15] + v[16:30] + v[31:],  # two dropped words
+        3: [*noise[:50], *long[:29], *noise[50:]],  # a long passage, less than half
+        4: [*noise[:50], *long[40:], *noise[50:]],  # 19 words are too few
+        5: [*v[:15], *noise[:200], *v[15:30], *noise[200:], *v[30:]],  # not nearby
+        6: [*noise[:50], *"abcdefghij", *noise[50:]],  # 10 words of 30, which lie on two diagonals
+        7: v[30:] + v[15:30] + v[:15],  # out of order: the longest part is 15 of 45
+    }
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id long, text string")
+    b = spark.createDataFrame([(1, " ".join(v)), (2, " ".join(long)), (3, " ".join(twice))], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.first_word, r.n_match) for r in D.contamination(d, b).collect())
+    assert got == [(1, 1, 9, 45), (2, 1, 0, 43), (3, 2, 50, 29)]
+    assert sorted(r.doc_id for r in D.drop_contaminated(d, b).collect()) == [4, 5, 6, 7]
