@@ -1,23 +1,27 @@
 """Exact substring deduplication by recompression.
 
-Every text is a sequence of word hashes. Rounds of recompression replace short runs of one symbol and
-then pairs of neighbours by new symbols. A symbol's name is a 64-bit hash of what it replaces, so a
-name is the same everywhere without a dictionary, and which pairs merge depends on their names alone
-(a left symbol has name bit 0, a right one bit 1). So equal substrings get the same symbols but for a
-bounded margin at either end (Jez, "Recompression: a simple and powerful technique").
+Every text is a sequence of words. Rounds of recompression name the words, replace short runs of one
+symbol and then pairs of neighbours by new symbols. A name is a hash of what it stands for, and each
+round's names are agreed on in Spark over all texts: where two different things would share one, both get
+another (``agree_on_names``). So a symbol stands for one run of words everywhere. Which pairs merge
+depends on their names alone (a left symbol has name bit 0, a right one bit 1), so equal substrings get
+the same symbols but for a bounded margin at either end (Jez, "Recompression: a simple and powerful
+technique").
 
 The rounds are kept few enough that the margin is a proven ``MARGIN`` words and a symbol covers at
 most ``SYMBOL`` words: every window of 50 words holds whole symbols that any equal window holds too.
-The least of those names anchors the window. Windows with one anchor are a block. Spark groups the
-anchors by the words that all windows of an anchor share; where all blocks of a group are equal, their
-windows are equal; else the windows of the group are compared by themselves. Both comparisons cover
-all 50 words of a window and use two independent 64-bit hashes. Only anchors are shuffled, about one
-for 14 words, and texts by doc_id.
+The least of those symbols anchors the window. Windows with one anchor are a block. Spark groups the
+blocks by their anchor's symbol and the words that all windows of an anchor share; groups in one document
+alone are no repeats. In the others the sequences of names are compared, by a 64-bit BLAKE2b digest within
+a group: where all blocks of a group are equal, their windows are; else its windows are compared by
+themselves. Only anchors are shuffled, about one for 11 words, and texts by doc_id.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.scratch import written
-from feedmill.llm.textarrays import SPACES, U64, gram_hashes, gram_prefix, int64, mix, pieces, ramp, word_bounds, word_hashes
+from feedmill.llm.textarrays import SPACES, U64, byte_prefix, gram_hashes, gram_prefix, hash_ranges, int64, mix, pieces, ramp, word_bounds
 
 WINDOW = 50
 #: Most words of a run that gets a name of its own; longer runs of a word stay as they are, since their ends may lie outside a window.
@@ -39,47 +43,149 @@ FIRST, LAST = MARGIN, WINDOW - MARGIN - SYMBOL
 #: Words around an anchor that are part of each of its windows: so many before it, so many from it on.
 BEFORE, AFTER = FIRST, WINDOW - LAST
 
-_ANCHORS = "key long, block long, doc_id long, place long"
+#: Levels that one round over the texts names: words and runs, then pairs, then pairs of pairs.
+ROUNDS = ((0, 1), *((2 + r,) for r in range(PAIR_ROUNDS)))
+#: Words that a task remembers as told, and windows in one step.
+SEEN, STEP = 1 << 19, 1 << 18
 
 
-def recompress(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names of the symbols after all rounds and the word at which each starts. at: each text's offsets among the words."""
+class Names(NamedTuple):
+    """Which names two symbols of the corpus would share, by level: words, runs, then each round of pairs."""
+
+    shared: tuple[np.ndarray, ...] = (np.zeros(0, dtype=U64),) * (2 + PAIR_ROUNDS)
+
+    def settle(self, level: int, names: np.ndarray, other: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+        """The names with those that two symbols would share replaced by other names of the symbols at these places."""
+        for name in self.shared[level]:
+            at = np.flatnonzero(names == name)
+            if len(at):
+                names = names.copy()
+                names[at] = other(at)
+        return names
+
+
+Made = Callable[[int, np.ndarray, np.ndarray, np.ndarray], None]
+
+
+def named_words(data: np.ndarray, off: np.ndarray, names: Names) -> tuple[np.ndarray, np.ndarray]:
+    """The name of every word, and each text's offsets among them."""
+    starts, ends, at = word_bounds(data, off, SPACES)
+    words = hash_ranges(byte_prefix(data), starts, ends)
+    return names.settle(0, words, lambda k: _digests([data[a:b].tobytes() for a, b in zip(starts[k], ends[k], strict=True)])[:, 1]), at
+
+
+def _digests(parts: list) -> np.ndarray:
+    """Two 64-bit numbers for each run of bytes."""
+    return np.frombuffer(b"".join([blake2b(x, digest_size=16).digest() for x in parts]), dtype=U64).reshape(-1, 2)
+
+
+def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made: Made | None = None, rounds: int = PAIR_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the symbols after all rounds and the word at which each starts. at: each text's offsets among the words.
+
+    made is told of the symbols that each level makes: level, names, and the two things that each name stands for.
+    """
     n = len(words)
     first = np.zeros(n + 1, dtype=bool)
     first[at] = True  # no symbol crosses into another text
-    starts, names = np.arange(n), words
+    starts, symbols = np.arange(n), words
     # runs of one word, as long as RUN in all
     same = np.zeros(n + 1, dtype=bool)
-    same[1:n] = (names[1:] == names[:-1]) & ~first[1:n]
+    same[1:n] = (symbols[1:] == symbols[:-1]) & ~first[1:n]
     head = np.flatnonzero(~same[:n])
     length = np.diff(np.append(head, n))
     short = head[(length > 1) & (length <= RUN)]
     if len(short):
         runs = length[(length > 1) & (length <= RUN)]
-        names = names.copy()
         keep = np.ones(n, dtype=bool)
         for k in range(1, RUN):
             keep[short[runs > k] + k] = False
-        names[short] = mix(names[short] + runs.astype(U64) * U64(0x8CB92BA72F3D8DD7))
-        starts, names = starts[keep], names[keep]
-    for r in range(PAIR_ROUNDS):
-        side = (mix(names + U64(r + 1)) >> U64(63)).astype(bool)
+        one, many = words[short], runs.astype(U64)
+        fresh = names.settle(1, mix(one + many * U64(0x8CB92BA72F3D8DD7)), lambda k: mix(mix(one[k]) ^ many[k]))
+        if made:
+            made(1, fresh, one, many)
+        symbols = symbols.copy()
+        symbols[short] = fresh
+        starts, symbols = starts[keep], symbols[keep]
+    for r in range(rounds):
+        side = (mix(symbols + U64(r + 1)) >> U64(63)).astype(bool)
         left = np.flatnonzero(~side[:-1] & side[1:] & ~first[starts[1:]])
-        keep = np.ones(len(names), dtype=bool)
+        keep = np.ones(len(symbols), dtype=bool)
         keep[left + 1] = False
-        joined = mix(names[left] * U64(0xAEF17502108EF2D9) + names[left + 1] + U64(r + 1))
-        names = names.copy()
-        names[left] = joined
-        starts, names = starts[keep], names[keep]
-    return starts, names
+        one, two = symbols[left], symbols[left + 1]
+        fresh = names.settle(2 + r, mix(one * U64(0xAEF17502108EF2D9) + two + U64(r + 1)), lambda k, a=one, b=two: mix(mix(a[k]) + b[k]))
+        if made:
+            made(2 + r, fresh, one, two)
+        symbols = symbols.copy()
+        symbols[left] = fresh
+        starts, symbols = starts[keep], symbols[keep]
+    return starts, symbols
+
+
+def _made_task(names: Names, levels: tuple[int, ...]):
+    """The symbols that some levels make: (level, name, a, b), each at least once in a task."""
+
+    def rows(level: int, name: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(name)
+        name, a, b = name[order], a[order], b[order]
+        new = np.ones(len(name), dtype=bool)
+        new[1:] = (name[1:] != name[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return pa.record_batch([pa.array(np.full(int(new.sum()), level, dtype=np.int32)), *(int64(x[new]) for x in (name, a, b))], ["level", "name", "a", "b"])
+
+    def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            for _, _, data, off in pieces(batch.column(0)):
+                out: list[tuple] = []
+                if 0 in levels:
+                    raw, there = data.tobytes(), set()
+                    for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+                        there.update(raw[a:b].split())
+                    fresh = list(there - seen)
+                    seen = (seen if len(seen) < SEEN else set()) | there
+                    if fresh:
+                        ends = np.cumsum([len(w) for w in fresh])
+                        bounds = np.concatenate(([0], ends))
+                        joined = np.frombuffer(b"".join(fresh), dtype=np.uint8)
+                        digests = _digests(fresh)
+                        name = names.settle(0, hash_ranges(byte_prefix(joined), bounds[:-1], ends), lambda k, d=digests: d[k, 1])
+                        out.append((0, name, digests[:, 0], digests[:, 1]))
+                if max(levels) > 0:
+                    words, at = named_words(data, off, names)
+                    recompress(words, at, names, lambda *made, o=out: o.append(made), max(levels) - 1)
+                for level, *made in out:
+                    if level in levels and len(made[0]):
+                        yield rows(level, *made)
 
+    return symbols
 
-def anchors(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The first window of each block, its number of windows, and its anchor's first word."""
+
+def agree_on_names(texts: DataFrame) -> Names:
+    """Name the words, runs and pairs of all texts so that no two different ones share a name.
+
+    A name is a hash of what it stands for, which makes it the same in every task. A round gathers what every
+    name of a level stands for, from all texts; where two things share one, both take another name, and the
+    round is repeated. Of n symbols about n^2 / 2^63 names are shared, which is what comes to the driver.
+    """
+    names = Names()
+    for levels in ROUNDS:
+        while True:
+            made = texts.select("text").mapInArrow(_made_task(names, levels), "level int, name long, a long, b long")
+            kinds = made.groupBy("level", "name").agg(F.min("a").alias("a1"), F.max("a").alias("a2"), F.min("b").alias("b1"), F.max("b").alias("b2"))
+            clashes = kinds.where("a1 <> a2 or b1 <> b2").select("level", "name").collect()
+            if not clashes:
+                break
+            lowest = min(r.level for r in clashes)  # the levels above it get new names with it
+            more = np.array([r.name for r in clashes if r.level == lowest], dtype=np.int64).view(U64)
+            names = Names(tuple(np.union1d(s, more) if k == lowest else s for k, s in enumerate(names.shared)))
+    return names
+
+
+def anchors(words: np.ndarray, at: np.ndarray, names: Names = Names()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The first window of each block, its number of windows, its anchor's first word and the anchor's name."""
     n = len(words)
-    starts, names = recompress(words, at)
+    starts, symbols = recompress(words, at, names)
     value = np.full(n + WINDOW, np.iinfo(np.uint64).max, dtype=U64)
-    value[starts] = mix(names ^ U64(0x5851F42D4C957F2D)) >> U64(1)
+    value[starts] = mix(symbols ^ U64(0x5851F42D4C957F2D)) >> U64(1)
     # the leftmost least value among the offsets FIRST..LAST of every window, by doubling
     span, width, best = LAST - FIRST + 1, 1, np.arange(n + WINDOW)
     while width < span:
@@ -90,49 +196,60 @@ def anchors(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     counts = np.maximum(np.diff(at) - WINDOW + 1, 0)
     windows = np.repeat(at[:-1], counts) + ramp(counts)
     if not len(windows):
-        return windows, windows, windows
+        return windows, windows, windows, symbols[:0]
     chosen = best[windows + FIRST]
     new = np.ones(len(windows), dtype=bool)
     new[1:] = (chosen[1:] != chosen[:-1]) | (windows[1:] != windows[:-1] + 1)
     head = np.flatnonzero(new)
-    return windows[head], np.diff(np.append(head, len(windows))), chosen[head]
+    anchor = chosen[head]
+    return windows[head], np.diff(np.append(head, len(windows))), anchor, symbols[np.searchsorted(starts, anchor)]
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, marks = batch.column(0), batch.column(1).to_numpy()
-        for lo, hi, data, off in pieces(batch.column(2)):
-            words, at = word_hashes(data, off)
-            first, n, anchor = anchors(words, at)
-            if not len(first):
-                continue
-            prefix = gram_prefix(words)
-            doc = np.searchsorted(at, first, "right") - 1
-            key = gram_hashes(prefix, anchor - BEFORE, BEFORE + AFTER)
-            block = mix(gram_hashes(prefix, first, n + (WINDOW - 1)) + (anchor - first).astype(U64))
-            place = ((first - at[doc]) << 37) | (n << 32) | (marks[lo:hi][doc].astype(np.int64) & 0xFFFFFFFF)
-            yield pa.record_batch([int64(key), int64(block), ids.take(pa.array(doc + lo)), pa.array(place)], ["key", "block", "doc_id", "place"])
-
-
-def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The windows asked for: text_hash, text and a list of (key, first window, number of windows) for each text."""
-    for batch in batches:
-        ids, marks = batch.column(0), batch.column(1)
-        asked = batch.column(3)
-        lists, flat = asked.offsets.to_numpy(), asked.values
-        keys, heads, counts = (flat.field(i).to_numpy() for i in range(3))
-        for lo, hi, data, off in pieces(batch.column(2)):
-            words, at = word_hashes(data, off)
-            prefix = gram_prefix(words)
-            span = slice(lists[lo], lists[hi])
-            row = np.repeat(np.arange(hi - lo), np.diff(lists[lo : hi + 1]))
-            n = counts[span]
-            inner = ramp(n)
-            first = np.repeat(heads[span], n) + inner
-            doc = np.repeat(row, n)
-            window = gram_hashes(prefix, at[doc] + first, WINDOW)
-            rows = pa.array(doc + lo)
-            yield pa.record_batch([pa.array(np.repeat(keys[span], n)), int64(window), ids.take(rows), marks.take(rows), pa.array(first)], ["key", "window", "doc_id", "text_hash", "first"])
+def _words_digests(words: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A digest of the names of n words from each first one on: equal for equal words alone, as no two words share a name."""
+    raw = memoryview(np.ascontiguousarray(words)).cast("B")
+    return np.frombuffer(b"".join([blake2b(raw[a:b], digest_size=8).digest() for a, b in zip((first * 8).tolist(), ((first + n) * 8).tolist(), strict=True)]), dtype=U64)
+
+
+def _anchor_task(names: Names):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, marks = batch.column(0), batch.column(1)
+            for lo, _, data, off in pieces(batch.column(2)):
+                words, at = named_words(data, off, names)
+                first, n, anchor, symbol = anchors(words, at, names)
+                if not len(first):
+                    continue
+                doc = np.searchsorted(at, first, "right") - 1
+                key = mix(gram_hashes(gram_prefix(words), anchor - BEFORE, BEFORE + AFTER) ^ symbol)
+                block = mix(_words_digests(words, first, n + (WINDOW - 1)) + (anchor - first).astype(U64))
+                row = pa.array(doc + lo)
+                yield pa.record_batch([int64(key), int64(block), ids.take(row), marks.take(row), pa.array(((first - at[doc]) << 5) | (n - 1))], ["key", "block", "doc_id", "mark", "place"])
+
+    return rows
+
+
+def _window_task(names: Names):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows asked for: doc_id, mark, text and a list of (key, place) for each text."""
+        for batch in batches:
+            ids, marks = batch.column(0), batch.column(1)
+            asked = batch.column(3)
+            lists, flat = asked.offsets.to_numpy(), asked.values
+            keys, places = (flat.field(i).to_numpy() for i in range(2))
+            for lo, hi, data, off in pieces(batch.column(2)):
+                words, at = named_words(data, off, names)
+                span = slice(lists[lo], lists[hi])
+                n = (places[span] & 31) + 1
+                doc = np.repeat(np.repeat(np.arange(hi - lo), np.diff(lists[lo : hi + 1])), n)
+                first = np.repeat(places[span] >> 5, n) + ramp(n)
+                for s in range(0, len(first), STEP):
+                    part = slice(s, s + STEP)
+                    window = _words_digests(words, at[doc[part]] + first[part], np.int64(WINDOW))
+                    row = pa.array(doc[part] + lo)
+                    yield pa.record_batch([pa.array(np.repeat(keys[span], n)[part]), int64(window), ids.take(row), marks.take(row), pa.array(first[part] << 5)], ["key", "window", "doc_id", "mark", "place"])
+
+    return rows
 
 
 def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,41 +286,54 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_windows(docs: DataFrame) -> DataFrame:
-    """Runs of windows of 50 words that also start in a text with a smaller doc_id: (doc_id, text_hash, first, n)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash("text").alias("text_hash"), "text").where("doc_id is not null and text is not null")
-    found = written(texts.mapInArrow(_anchor_rows, _ANCHORS))
+    """Runs of windows of 50 words that also start in a text with a smaller doc_id: (doc_id, mark, place), place being first window * 32 + windows - 1."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").where("doc_id is not null and text is not null")
+    names = agree_on_names(texts)
+    found = written(texts.mapInArrow(_anchor_task(names), "key long, block long, doc_id long, mark long, place long"))
     shared = written(
         found.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("b1"), F.max("block").alias("b2")).where("least < most").select("key", "least", F.expr("b1 = b2").alias("one_block"))
     )
-    met = written(
-        found.join(shared, "key").where("doc_id > least or not one_block").select(
-            "key", "doc_id", "one_block", F.expr("cast(shiftright(shiftleft(place, 32), 32) as int)").alias("text_hash"),
-            F.expr("shiftright(place, 37)").alias("first"), F.expr("shiftright(place, 32) & 31").alias("n"),
-        )
-    )
-    asked = met.where("not one_block").groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("key", "first", "n")).alias("asked"))
+    met = written(found.join(shared, "key").where("doc_id > least or not one_block").select("key", "doc_id", "mark", "one_block", "place"))
+    asked = met.where("not one_block").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
     windows = written(
-        texts.join(asked, ["doc_id", "text_hash"]).select("doc_id", "text_hash", "text", "asked").mapInArrow(_window_rows, "key long, window long, doc_id long, text_hash int, first long")
+        texts.join(asked, ["doc_id", "mark"]).select("doc_id", "mark", "text", "asked").mapInArrow(_window_task(names), "key long, window long, doc_id long, mark long, place long")
     )
     least = written(windows.groupBy("key", "window").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("key", "window", "least"))
-    alone = windows.join(least, ["key", "window"]).where("doc_id > least").select("doc_id", "text_hash", "first", F.lit(1).cast("long").alias("n"))
-    return met.where("one_block").select("doc_id", "text_hash", "first", "n").union(alone)
+    alone = windows.join(least, ["key", "window"]).where("doc_id > least").select("doc_id", "mark", "place")
+    return met.where("one_block").select("doc_id", "mark", "place").union(alone)
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:
     """Remove every word covered by a window of 50 words that also starts in a text with a smaller doc_id.
 
-    Words are runs of other bytes than 09-0D and 20. Windows are judged on the input. Returns doc_id,
-    n_words, n_removed and kept, the kept words joined by one space; a row for each row of docs.
+    Words are runs of other bytes than 09-0D and 20, of any length. Windows are judged on the input. Returns
+    doc_id, n_words, n_removed and kept, the kept words joined by one space; a row for each row of docs.
 
     Null or empty text: no words, kept is ''. Null doc_id: nothing is removed and nothing is removed
-    because of it. Rows that share a doc_id never remove each other's words. Texts shorter than a
-    window stay whole. Other columns are ignored. An empty table gives an empty one.
+    because of it. Rows that share a doc_id never remove each other's words; equal rows have equal results.
+    There are no ties: only smaller doc_ids count, however many. Texts shorter than a window stay whole. A
+    text of any length that Spark can hold is one step of a task (see textarrays). Other columns are ignored.
+    An empty table gives an empty one.
     """
-    lost = repeated_windows(docs).groupBy("doc_id", "text_hash").agg(F.collect_list(F.expr("shiftleft(first, 5) | (n - 1)")).alias("lost"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.hash("text").alias("text_hash"))
-    return texts.join(lost, ["doc_id", "text_hash"], "left").select("doc_id", "text", "lost").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept string")
+    lost = repeated_windows(docs).groupBy("doc_id", "mark").agg(F.collect_list("place").alias("lost"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("mark"))
+    return texts.join(lost, ["doc_id", "mark"], "left").select("doc_id", "text", "lost").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept string")
 
 
 def digest(kept: DataFrame) -> DataFrame:
+    """The rows of dedup_substrings with a SHA-256 of the kept words in place of them."""
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The definition in DuckDB: windows by their words, none of the method's steps.
+SQL = r"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+win AS (SELECT r, doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS g FROM (SELECT *, unnest(range(1, len(w) - 48)) AS k FROM doc)),
+first AS (SELECT g, min(doc_id) AS least FROM win GROUP BY g),
+hit AS (SELECT r, k FROM win JOIN first USING (g) WHERE doc_id > least),
+gone AS (SELECT DISTINCT r, k + j AS i FROM hit, unnest(range(0, 50)) AS u(j)),
+words AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM doc),
+kept AS (SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""

@@ -58,3 +58,54 @@ def test_null_ids_and_empty_table(spark):
     got = {r.doc_id: (r.n_words, r.n_removed) for r in S.dedup_substrings(docs).collect()}
     assert got == {None: (60, 0), 1: (60, 0), 2: (60, 60)}
     assert S.dedup_substrings(docs.where("doc_id > 5")).count() == 0
+
+
+def test_words_that_a_polynomial_modulo_2_64_confuses(spark):
+    """The Thue-Morse word of 1,024 letters and its complement are different words."""
+    turn = [bin(k).count("1") & 1 for k in range(1024)]
+    one, two = ("".join("ab"[t ^ x] for t in turn) for x in (0, 1))
+    tail = " ".join(f"w{k}" for k in range(59))
+    rows = [(1, f"{one} {tail}"), (2, f"{two} {tail}"), (3, f"{one} {tail}")]
+    got = sorted(map(tuple, S.digest(S.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string"))).collect()))
+    assert got == sorted(brute_force(rows)) and [r[2] for r in got] == [0, 59, 60]
+
+
+def test_shared_names_are_replaced():
+    """A name on the list of shared ones gives way at every level, and all others stay."""
+    text = np.frombuffer(b"a b b c a b d d e a c b", dtype=np.uint8)
+    off = np.array([0, len(text)])
+    words, at = S.named_words(text, off, S.Names())
+    made = []
+    S.recompress(words, at, S.Names(), lambda *m: made.append(m))
+    assert [m[0] for m in made] == [1, 2, 3]
+    for level, name in [(0, words[0]), *((m[0], m[1][0]) for m in made if len(m[1]))]:
+        names = S.Names(tuple(np.array([name] if k == level else [], dtype=np.uint64) for k in range(4)))
+        again, _ = S.named_words(text, off, names)
+        if level == 0:
+            assert ((again != words) == (words == name)).all() and len({*again[words == name]}) == 1
+            continue
+        anew = []
+        S.recompress(words, at, names, lambda *m: anew.append(m))
+        old, new = (next(m for m in x if m[0] == level) for x in (made, anew))
+        assert (old[2] == new[2]).all() and (old[3] == new[3]).all()
+        assert ((old[1] != new[1]) == (old[1] == name)).all()
+
+
+def test_rounds_find_shared_names(spark):
+    texts = spark.createDataFrame([("a b c d e f a b",), ("x " * 5000,), ("x x y",)], "text string")
+    assert all(len(s) == 0 for s in S.agree_on_names(texts).shared)
+    task = S._made_task(S.Names(), (0, 1))
+    import pyarrow as pa
+
+    rows = pa.Table.from_batches(list(task(iter([pa.record_batch([pa.array(["x x y", "b b y", None, ""])], ["text"])])))).to_pydict()
+    assert sorted(rows["level"]) == [0, 0, 0, 1, 1]
+
+
+def test_sql_equals_brute_force():
+    import duckdb
+
+    rows = made(3)
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    assert sorted(con.sql(S.SQL).fetchall()) == sorted(brute_force(rows))
