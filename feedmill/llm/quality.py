@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.labelled import as_texts, feature_rows, fold, score_rows, sigmoid, training_sample
-from feedmill.llm.textarrays import U64, byte_prefix, gram_hashes, gram_prefix, hash_ranges, mix, ramp, word_bounds
+from feedmill.llm.textarrays import U64, gram_hashes, gram_prefix, hash_ranges, mix, ramp, word_bounds
 
 BITS = 18
 THRESHOLD = 0.7
@@ -46,7 +46,7 @@ def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     n = np.diff(at)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0), np.zeros(len(at), np.int64)
-    words = hash_ranges(byte_prefix(data), starts, ends)
+    words = hash_ranges(data, starts, ends)
     kinds = np.bitwise_or.reduceat(_CLASS[data], np.stack([starts, np.minimum(ends, len(data) - 1)], axis=1).reshape(-1))[::2] if len(data) > 1 else _CLASS[data]
     tail = ends == len(data)
     if tail.any():  # the last word ends with the bytes

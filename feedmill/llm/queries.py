@@ -65,4 +65,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.SQL, "op3_chat_rotation": chat_rotation.SQL}
+    return {"op1_substring_dedup": substring_dedup.SQL, "op3_chat_rotation": chat_rotation.SQL, "op7_jaccard_join": jaccard_join.SQL}

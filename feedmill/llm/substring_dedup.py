@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.scratch import written
-from feedmill.llm.textarrays import SPACES, U64, byte_prefix, gram_hashes, gram_prefix, hash_ranges, int64, mix, pieces, ramp, word_bounds
+from feedmill.llm.textarrays import SPACES, U64, gram_hashes, gram_prefix, hash_ranges, int64, mix, pieces, ramp, word_bounds
 
 WINDOW = 50
 #: Most words of a run that gets a name of its own; longer runs of a word stay as they are, since their ends may lie outside a window.
@@ -43,10 +43,12 @@ FIRST, LAST = MARGIN, WINDOW - MARGIN - SYMBOL
 #: Words around an anchor that are part of each of its windows: so many before it, so many from it on.
 BEFORE, AFTER = FIRST, WINDOW - LAST
 
-#: Levels that one round over the texts names: words and runs, then pairs, then pairs of pairs.
-ROUNDS = ((0, 1), *((2 + r,) for r in range(PAIR_ROUNDS)))
-#: Words that a task remembers as told, and windows in one step.
-SEEN, STEP = 1 << 19, 1 << 18
+#: Levels that one round over the texts names: words, then runs, pairs and pairs of pairs.
+ROUNDS = ((0,), tuple(range(1, 2 + PAIR_ROUNDS)))
+#: Seed of the second hashes of words.
+OTHER = 0x2C1B3C6D
+#: Symbols that a task remembers as told, and windows in one step.
+TOLD, STEP = 1 << 20, 1 << 18
 
 
 class Names(NamedTuple):
@@ -64,25 +66,23 @@ class Names(NamedTuple):
         return names
 
 
-Made = Callable[[int, np.ndarray, np.ndarray, np.ndarray], None]
+Made = Callable[[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray], None]
 
 
 def named_words(data: np.ndarray, off: np.ndarray, names: Names) -> tuple[np.ndarray, np.ndarray]:
     """The name of every word, and each text's offsets among them."""
     starts, ends, at = word_bounds(data, off, SPACES)
-    words = hash_ranges(byte_prefix(data), starts, ends)
-    return names.settle(0, words, lambda k: _digests([data[a:b].tobytes() for a, b in zip(starts[k], ends[k], strict=True)])[:, 1]), at
+    return _named(data, starts, ends, names), at
 
 
-def _digests(parts: list) -> np.ndarray:
-    """Two 64-bit numbers for each run of bytes."""
-    return np.frombuffer(b"".join([blake2b(x, digest_size=16).digest() for x in parts]), dtype=U64).reshape(-1, 2)
+def _named(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, names: Names) -> np.ndarray:
+    return names.settle(0, hash_ranges(data, starts, ends), lambda k: hash_ranges(data, starts[k], ends[k], OTHER))
 
 
-def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made: Made | None = None, rounds: int = PAIR_ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made: Made | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Names of the symbols after all rounds and the word at which each starts. at: each text's offsets among the words.
 
-    made is told of the symbols that each level makes: level, names, and the two things that each name stands for.
+    made is told of the symbols that each level makes: level, places, names, and the two things that each name stands for.
     """
     n = len(words)
     first = np.zeros(n + 1, dtype=bool)
@@ -102,11 +102,11 @@ def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made:
         one, many = words[short], runs.astype(U64)
         fresh = names.settle(1, mix(one + many * U64(0x8CB92BA72F3D8DD7)), lambda k: mix(mix(one[k]) ^ many[k]))
         if made:
-            made(1, fresh, one, many)
+            made(1, starts[short], fresh, one, many)
         symbols = symbols.copy()
         symbols[short] = fresh
         starts, symbols = starts[keep], symbols[keep]
-    for r in range(rounds):
+    for r in range(PAIR_ROUNDS):
         side = (mix(symbols + U64(r + 1)) >> U64(63)).astype(bool)
         left = np.flatnonzero(~side[:-1] & side[1:] & ~first[starts[1:]])
         keep = np.ones(len(symbols), dtype=bool)
@@ -114,7 +114,7 @@ def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made:
         one, two = symbols[left], symbols[left + 1]
         fresh = names.settle(2 + r, mix(one * U64(0xAEF17502108EF2D9) + two + U64(r + 1)), lambda k, a=one, b=two: mix(mix(a[k]) + b[k]))
         if made:
-            made(2 + r, fresh, one, two)
+            made(2 + r, starts[left], fresh, one, two)
         symbols = symbols.copy()
         symbols[left] = fresh
         starts, symbols = starts[keep], symbols[keep]
@@ -122,39 +122,40 @@ def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made:
 
 
 def _made_task(names: Names, levels: tuple[int, ...]):
-    """The symbols that some levels make: (level, name, a, b), each at least once in a task."""
+    """The symbols that some levels make: (level, name, a, b), each at least once in a task.
 
-    def rows(level: int, name: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(name)
-        name, a, b = name[order], a[order], b[order]
-        new = np.ones(len(name), dtype=bool)
-        new[1:] = (name[1:] != name[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        return pa.record_batch([pa.array(np.full(int(new.sum()), level, dtype=np.int32)), *(int64(x[new]) for x in (name, a, b))], ["level", "name", "a", "b"])
+    Words of up to seven bytes have names of their own by construction. What a longer word's name stands for is
+    given by a second hash and the word's length. Runs and pairs are told of where they are part of an anchor.
+    """
 
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
+        told = np.zeros((3, TOLD), dtype=U64)  # symbols that this task told of lately
+
+        def fresh(level: int, *symbol: np.ndarray) -> pa.RecordBatch:
+            slot = ((symbol[0] + U64(level)) & U64(TOLD - 1)).astype(np.int64)
+            new = np.zeros(len(slot), dtype=bool)
+            for old, x in zip(told, symbol, strict=True):
+                new |= old[slot] != x
+            slot, symbol = slot[new], [x[new] for x in symbol]
+            for old, x in zip(told, symbol, strict=True):
+                old[slot] = x
+            return pa.record_batch([pa.array(np.full(len(slot), level, dtype=np.int32)), *map(int64, symbol)], ["level", "name", "a", "b"])
+
         for batch in batches:
             for _, _, data, off in pieces(batch.column(0)):
-                out: list[tuple] = []
+                starts, ends, at = word_bounds(data, off, SPACES)
+                words = _named(data, starts, ends, names)
                 if 0 in levels:
-                    raw, there = data.tobytes(), set()
-                    for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
-                        there.update(raw[a:b].split())
-                    fresh = list(there - seen)
-                    seen = (seen if len(seen) < SEEN else set()) | there
-                    if fresh:
-                        ends = np.cumsum([len(w) for w in fresh])
-                        bounds = np.concatenate(([0], ends))
-                        joined = np.frombuffer(b"".join(fresh), dtype=np.uint8)
-                        digests = _digests(fresh)
-                        name = names.settle(0, hash_ranges(byte_prefix(joined), bounds[:-1], ends), lambda k, d=digests: d[k, 1])
-                        out.append((0, name, digests[:, 0], digests[:, 1]))
-                if max(levels) > 0:
-                    words, at = named_words(data, off, names)
-                    recompress(words, at, names, lambda *made, o=out: o.append(made), max(levels) - 1)
-                for level, *made in out:
-                    if level in levels and len(made[0]):
-                        yield rows(level, *made)
+                    long = np.flatnonzero(ends - starts > 7)
+                    yield fresh(0, words[long], hash_ranges(data, starts[long], ends[long], OTHER), (ends - starts)[long].astype(U64))
+                    continue
+                out: list[tuple] = []
+                _, _, anchor, _ = anchors(words, at, names, lambda *made, o=out: o.append(made))
+                part = np.zeros(len(words) + SYMBOL, dtype=bool)
+                for k in range(SYMBOL):  # symbols that start in the next SYMBOL words are told of with the anchor
+                    part[anchor + k] = True
+                for level, place, *made in out:
+                    yield fresh(level, *(x[part[place]] for x in made))
 
     return symbols
 
@@ -180,10 +181,10 @@ def agree_on_names(texts: DataFrame) -> Names:
     return names
 
 
-def anchors(words: np.ndarray, at: np.ndarray, names: Names = Names()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def anchors(words: np.ndarray, at: np.ndarray, names: Names = Names(), made: Made | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The first window of each block, its number of windows, its anchor's first word and the anchor's name."""
     n = len(words)
-    starts, symbols = recompress(words, at, names)
+    starts, symbols = recompress(words, at, names, made)
     value = np.full(n + WINDOW, np.iinfo(np.uint64).max, dtype=U64)
     value[starts] = mix(symbols ^ U64(0x5851F42D4C957F2D)) >> U64(1)
     # the leftmost least value among the offsets FIRST..LAST of every window, by doubling

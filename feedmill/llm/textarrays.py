@@ -1,10 +1,9 @@
 """Vectorised views of Arrow text columns: words, word hashes and word n-gram hashes.
 
-Everything works on the raw UTF-8 bytes of a column. The hash of a word is a polynomial over its bytes
-modulo the prime 2^61 - 1, from prefix sums, so that it costs a few steps whatever the word's length. The
-hash of a run of words is a polynomial over the word hashes modulo 2^64, for runs of far fewer than the
-thousand words at which such polynomials have known collisions. Hashes depend on content alone and are
-equal in every task.
+Everything works on the raw UTF-8 bytes of a column. The hash of a word takes eight bytes at a time; those
+of words of up to seven bytes are one-to-one. The hash of a run of words is a polynomial over the word
+hashes modulo 2^64, for runs of far fewer than the thousand words at which such polynomials have known
+collisions. Hashes depend on content alone and are equal in every task.
 
 A step holds rows of about half a megabyte together; a longer text is a step of its own and needs some
 60 bytes of memory for each of its bytes.
@@ -44,35 +43,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_PRIME = (1 << 61) - 1
-_P, _HALF = U64(_PRIME), U64((1 << 32) - 1)
-#: A longer word is hashed by itself: its sums may pass 2^64.
-_LONG_WORD = 1 << 23
-
-
-def _fold(x: np.ndarray) -> np.ndarray:
-    """x modulo 2^61 - 1."""
-    x = (x & _P) + (x >> U64(61))
-    return np.where(x >= _P, x - _P, x)
-
-
-def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a * b modulo 2^61 - 1, for numbers below it."""
-    a1, a0, b1, b0 = a >> U64(32), a & _HALF, b >> U64(32), b & _HALF
-    low, middle = a0 * b0, a0 * b1 + a1 * b0
-    return _fold((low & _P) + (low >> U64(61)) + ((middle & U64((1 << 29) - 1)) << U64(32)) + (middle >> U64(29)) + ((a1 * b1) << U64(3)))
-
-
-@lru_cache(maxsize=4)
-def _prime_powers(bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Low and high halves of the base's powers modulo 2^61 - 1, and the powers of its inverse."""
-    out = []
-    for base in (_BASE % _PRIME, pow(_BASE % _PRIME, -1, _PRIME)):
-        grown = np.ones(1, dtype=U64)
-        for k in range(bits):
-            grown = np.concatenate([grown, _times(grown, U64(pow(base, 1 << k, _PRIME)))])
-        out.append(grown)
-    return out[0] & _HALF, out[0] >> U64(32), out[1]
+#: Low bytes of a 64-bit number, by how many of them a word fills.
+_FILLED = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
+_LONG = U64(1 << 63)
+#: A longer word is hashed by BLAKE2b.
+_LONGEST = 4096
 
 
 @lru_cache(maxsize=4)
@@ -126,31 +101,32 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray =
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
-def byte_prefix(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes and the prefix sums of both halves of byte times power."""
-    low, high, _ = _prime_powers(max(20, len(data).bit_length()))
-    values = data.astype(U64) + U64(1)
-    sums = np.zeros((2, len(data) + 1), dtype=U64)
-    np.cumsum(values * low[: len(data)], out=sums[0, 1:])
-    np.cumsum(values * high[: len(data)], out=sums[1, 1:])
-    return data, sums[0], sums[1]
-
-
-def hash_ranges(prefix: tuple[np.ndarray, np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte ranges, from byte_prefix."""
-    data, low, high = prefix
-    upper = high[ends] - high[starts]
-    total = _fold(_fold(low[ends] - low[starts]) + ((upper & U64((1 << 29) - 1)) << U64(32)) + (upper >> U64(29)))
-    out = _times(total, _prime_powers(max(20, len(data).bit_length()))[2][starts])
-    for k in np.flatnonzero(ends - starts > _LONG_WORD):
-        out[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]].tobytes(), digest_size=8).digest(), "little") % _PRIME
-    return mix(out)
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hashes of byte ranges; those of up to seven bytes are one-to-one. Another seed gives independent ones for longer ranges."""
+    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)])
+    eight = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    size = ends - starts
+    out = (eight[starts] & _FILLED[np.minimum(size, 8)]) | (size.astype(U64) << U64(56))
+    long = np.flatnonzero(size > 7)
+    if len(long):
+        begin, size = starts[long], size[long]
+        state = mix((eight[begin] + U64(seed)) ^ (size.astype(U64) * U64(_BASE)))
+        active, at = np.flatnonzero((size > 8) & (size <= _LONGEST)), 8
+        while len(active):
+            chunk = eight[begin[active] + at] & _FILLED[np.minimum(size[active] - at, 8)]
+            state[active] = mix(state[active] * U64(0xC6A4A7935BD1E995) + chunk)
+            at += 8
+            active = active[size[active] > at]
+        for k in np.flatnonzero(size > _LONGEST):
+            state[k] = int.from_bytes(hashlib.blake2b(data[begin[k] : begin[k] + size[k]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest(), "little")
+        out[long] = state | _LONG
+    return mix(out ^ U64(seed))
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
     """A hash of every word, and each text's offsets among them."""
     starts, ends, at = word_bounds(data, offsets, separators)
-    return hash_ranges(byte_prefix(data), starts, ends), at
+    return hash_ranges(data, starts, ends), at
 
 
 def gram_prefix(words: np.ndarray) -> np.ndarray:

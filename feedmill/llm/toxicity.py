@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.labelled import as_texts, fold, row_sums, score_rows, sigmoid, training_sample
-from feedmill.llm.textarrays import NOT_ALNUM, U64, byte_prefix, hash_ranges, pieces, word_bounds
+from feedmill.llm.textarrays import NOT_ALNUM, U64, hash_ranges, pieces, word_bounds
 
 BITS = 18
 PREFIX = 4
@@ -48,9 +48,8 @@ def swap_terms(text: str, groups=IDENTITY_TERMS) -> str:
 def features(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct buckets of the words and word beginnings of each lower-case text."""
     starts, ends, at = word_bounds(data, off, NOT_ALNUM)
-    prefix = byte_prefix(data)
-    whole = hash_ranges(prefix, starts, ends)
-    begin = hash_ranges(prefix, starts, np.minimum(ends, starts + PREFIX)) ^ U64(0x2545F4914F6CDD1D)
+    whole = hash_ranges(data, starts, ends)
+    begin = hash_ranges(data, starts, np.minimum(ends, starts + PREFIX)) ^ U64(0x2545F4914F6CDD1D)
     long = ends - starts > PREFIX
     row = np.repeat(np.arange(len(at) - 1), np.diff(at))
     codes = np.concatenate([(row.astype(np.int64) << BITS) | (whole >> U64(64 - BITS)).astype(np.int64), (row[long].astype(np.int64) << BITS) | (begin[long] >> U64(64 - BITS)).astype(np.int64)])

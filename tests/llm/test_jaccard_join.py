@@ -72,8 +72,8 @@ def test_chunks_of_a_large_group(monkeypatch):
     sets = [np.unique(np.concatenate([core[5 * (k % 8) :], rng.integers(0, 1 << 62, 4 * (k % 5), dtype=np.uint64)])) for k in range(60)]
     import pandas as pd
 
-    frame = lambda rows, chunk: pd.DataFrame({"rep": rows, "chunk": chunk, "shingles": [sets[r].tobytes() for r in rows]})
-    task = J._link_task(0.8, 1e-6)
+    frame = lambda rows, chunk: pd.DataFrame({"set_id": rows, "grp": 0, "banded": False, "chunk": chunk, "shingles": [sets[r].tobytes() for r in rows]})
+    task = J._link_task(0.8, J.PRUNED)
     whole = task(frame(list(range(60)), [0] * 60))
     parts = [task(frame(list(range(30)), [0] * 30)), task(frame(list(range(30, 60)), [1] * 30)), task(frame(list(range(60)), [0] * 30 + [1] * 30))]
     total = lambda x: x[x.n > 0].groupby("a").n.sum().to_dict()
@@ -96,3 +96,50 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 150: 150, **{i: 150 for i in range(200, 260)}}
     scratch.release(spark)
+
+
+def by_rows(rows, t=0.8):
+    """Classes of rows, each with its own text, whatever the doc_ids: (doc_id, class_id, n_links) of each row, and the rows to keep."""
+    want = {i: (c, n) for i, c, n in brute_force([(k, x) for k, (_, x) in enumerate(rows)], t)}
+    groups = {}
+    for k, (i, x) in enumerate(rows):
+        if shingle_set(x):
+            groups.setdefault(want[k][0], []).append(i)
+    return sorted((i, min(groups[want[k][0]]) if shingle_set(x) else i, want[k][1]) for k, (i, x) in enumerate(rows)), len(groups) + sum(not shingle_set(x) for _, x in rows)
+
+
+def test_one_doc_id_with_different_texts(spark):
+    word = lambda seed: " ".join(f"w{seed}x{k}" for k in range(40))
+    near = lambda text: text + " more"
+    p, q, r = map(word, range(3))
+    cases = [(1, [(1, p), (1, q), (5, near(p)), (6, near(q))]), (64, [(1, p), (1, q), (2, r)]), (4, [(3, p), (3, near(p)), (3, q), (4, near(near(p))), (4, q)])]
+    for parts, rows in cases:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        want, kept = by_rows(rows)
+        assert sorted(tuple(x)[:3] for x in J.near_duplicates(docs).collect()) == want
+        left = J.keep_one(docs).collect()
+        assert len(left) == kept and len({tuple(x) for x in left}) == kept
+
+
+def test_a_giant_group_by_its_bands(spark):
+    """Groups of over 4 sets go through the bands of their own: the result stays."""
+    rows = made(5)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r)[:3] for r in J.near_duplicates(docs, giant=4).collect())
+    assert got == brute_force(rows)
+
+
+def test_a_very_long_text(spark):
+    long = " ".join(str(k * 7919 % 100_003) for k in range(300_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "short text here")], "doc_id long, text string")
+    assert sorted(tuple(r)[:3] for r in J.near_duplicates(docs).collect()) == [(1, 1, 1), (2, 1, 1), (3, 3, 0)]
+
+
+def test_sql_equals_brute_force():
+    import duckdb
+
+    rows = made(6)
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    assert sorted(r[:3] for r in con.sql(J.SQL).fetchall()) == brute_force(rows)

@@ -78,7 +78,7 @@ def test_shared_names_are_replaced():
     made = []
     S.recompress(words, at, S.Names(), lambda *m: made.append(m))
     assert [m[0] for m in made] == [1, 2, 3]
-    for level, name in [(0, words[0]), *((m[0], m[1][0]) for m in made if len(m[1]))]:
+    for level, name in [(0, words[0]), *((m[0], m[2][0]) for m in made if len(m[2]))]:
         names = S.Names(tuple(np.array([name] if k == level else [], dtype=np.uint64) for k in range(4)))
         again, _ = S.named_words(text, off, names)
         if level == 0:
@@ -87,18 +87,19 @@ def test_shared_names_are_replaced():
         anew = []
         S.recompress(words, at, names, lambda *m: anew.append(m))
         old, new = (next(m for m in x if m[0] == level) for x in (made, anew))
-        assert (old[2] == new[2]).all() and (old[3] == new[3]).all()
-        assert ((old[1] != new[1]) == (old[1] == name)).all()
+        assert (old[3] == new[3]).all() and (old[4] == new[4]).all()
+        assert ((old[2] != new[2]) == (old[2] == name)).all()
 
 
 def test_rounds_find_shared_names(spark):
     texts = spark.createDataFrame([("a b c d e f a b",), ("x " * 5000,), ("x x y",)], "text string")
     assert all(len(s) == 0 for s in S.agree_on_names(texts).shared)
-    task = S._made_task(S.Names(), (0, 1))
     import pyarrow as pa
 
-    rows = pa.Table.from_batches(list(task(iter([pa.record_batch([pa.array(["x x y", "b b y", None, ""])], ["text"])])))).to_pydict()
-    assert sorted(rows["level"]) == [0, 0, 0, 1, 1]
+    words = " ".join(f"word{k % 7}long" for k in range(60))
+    batch = pa.record_batch([pa.array([f"x x y {words}", "b b y", None, ""])], ["text"])
+    told = [pa.Table.from_batches(list(S._made_task(S.Names(), levels)(iter([batch])))).to_pydict() for levels in S.ROUNDS]
+    assert told[0]["level"] == [0] * 60 and len(set(told[0]["name"])) == 7 and set(told[1]["level"]) <= {1, 2, 3} and len(told[1]["level"]) > 3
 
 
 def test_sql_equals_brute_force():
