@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from feedmill.llm import secret_scan as S
 
@@ -77,3 +78,75 @@ def test_redaction(spark):
         new = new + t[at:] if b else t
         want.append((i, new, "s", len(new) if b else -1, "x"))
     assert got == sorted(want, key=str)
+
+
+def test_recall_of_random_strings_on_held_out_ones(spark):
+    """Models from the corpus: 0.95 of random strings of letters and digits are found, 0.7 of letters alone, and no word of the corpus without a digit."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = S.fit(S.corpus_samples(docs))
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    rows = [(k, "value " + "".join(rng.choice(letters + "0123456789" * (k % 2)) for _ in range(rng.randint(16, 40))) + " end") for k in range(1000)]
+    got = {r.doc_id: r.n_random for r in S.report(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert sum(got[k] for k in range(1, 1000, 2)) >= 475 and sum(got[k] for k in range(0, 1000, 2)) >= 350
+    for r in S.scan(docs, model).where("exists(spans, s -> s.kind = 'random')").collect():
+        assert all(re.search("[0-9]", r.text[s.start : s.end]) for s in r.spans if s.kind == "random")
+
+
+def test_model_spans_equal_their_definition(spark):
+    """Whole runs whose ratio is large, unless one base span holds them."""
+    rng = random.Random(5)
+    model = S.fit(spark.createDataFrame([("".join(rng.choice("ab0") for _ in range(9)), True), ("abababab", False)], "token string, secret boolean"))
+    rows = [(k, "".join(rng.choice(["ab0b0ba00ab0bb0", "abababababababababab", "0b" * 14, " ", ".", "token=", "api_key: '", "'", "é", "AKIA", "ABC123ABC123ABC123A", "+"]) for _ in range(rng.randint(0, 12)))) for k in range(200)]
+    got = {r.doc_id: r.spans for r in S.report(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    seen = 0
+    for k, t in rows:
+        held = base(t)
+        spans = list(held)
+        for m in re.finditer(r"[A-Za-z0-9+/_-]{16,}", t):
+            x = m[0]
+            r = sum(float(f"{model[ord(a) * 128 + ord(b)]:.6g}") for a, b in zip(x, x[1:], strict=False))
+            each = S.LEAST_RATIO_PER_CHAR if re.search("[0-9]", x) else S.LEAST_RATIO_PER_LETTER
+            if r >= max(S.LEAST_RATIO, each * len(x)) and not any(a <= m.start() and m.end() <= b for a, _, b, _ in held):
+                spans.append((m.start(), 3, m.end(), "random"))
+                seen += 1
+        assert got[k] == as_text(sorted(spans)), t
+    assert seen > 20
+
+
+def test_long_tokens_and_many_matches_take_seconds(spark):
+    rng = random.Random(6)
+    token = "".join(rng.choice("GHIJKLghijkl0123456789+/") for _ in range(1_000_000))
+    many = " ".join(f"token=a{k:06d}" for k in range(100_000))
+    samples = spark.createDataFrame([(token[:2000], True), ("ordinary_identifier", False)], "token string, secret boolean")
+    docs = spark.createDataFrame([(1, token), (2, many)], "doc_id long, text string")
+    began = time.time()
+    model = S.fit(samples)
+    got = {r.doc_id: r for r in S.report(docs, model).collect()}
+    assert got[1].spans == "random:0:1000000" and got[2].n_assign == 100_000 and got[2].spans == as_text(base(many))
+    clean = {r.doc_id: r.text for r in S.redact(docs, model).collect()}
+    assert clean == {1: S.MASK, 2: " ".join([S.MASK] * 100_000)}
+    assert time.time() - began < 300
+
+
+def test_spans_across_chunks(spark, monkeypatch):
+    """Redaction holds pieces of the text against the spans: their ends may lie anywhere."""
+    monkeypatch.setattr(S, "CHUNK", 7)
+    test_redaction(spark)
+    rows = [(1, None), (2, ""), (3, "deadbeef" * 3), (4, "x deadbeef" + "deadbeef" * 3 + "é token=abcdefg\n")]
+    out = S.redact(spark.createDataFrame(rows, "doc_id long, text string"), None)
+    assert {r.doc_id: r.text for r in out.collect()} == {1: None, 2: "", 3: S.MASK, 4: f"x {S.MASK}é {S.MASK}\n"}
+    assert S.redact(out.where("doc_id > 9"), None).count() == 0
+
+
+def test_sql_equals_the_scan(spark):
+    import duckdb
+
+    rows = [(i, t) for i, t in made() if i is not None and (i, t) != made()[-1]] + [(2000 + k, f"some ordinary words and ab{k}XyZ{k * k}Qw9{k}eRt7 there") for k in range(20)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = S.report(docs, S.fit(S.corpus_samples(docs)))
+    rel = con.sql(S.SQL).select(*got.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(rel.fetchall()) and any(r.n_random for r in got.collect())
