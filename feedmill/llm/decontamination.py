@@ -2,15 +2,16 @@
 
 A mask looks at some of the words of a span and ignores the others, so a seed still hits where ignored
 words were replaced (Ma et al., "PatternHunter", 2002). Hashes of all masks at all words of the texts
-are first held against a bit array of the benchmark's hashes, whose size is fixed (1 MB). What passes is
-joined with the benchmark's hashes in Spark and the hits of a text and an item are verified together: the
-text and the item are laid over each other at all hits, and the words that agree on nearby diagonals are
-chained in order. They must be half of the item's words or hold a long passage of it.
+are first held against a bit array of the benchmark's hashes, whose size follows their number (32 MB at
+most). What passes is joined with the benchmark's hashes in Spark and the hits of a text and an item are
+verified together: the text and the item are laid over each other at all hits, and the words that agree
+on nearby diagonals are chained in order. They must be half of the item's words or hold a long passage of
+it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,35 +21,43 @@ from pyspark.sql import functions as F
 from feedmill.llm.scratch import written
 from feedmill.llm.textarrays import NOT_ALNUM, U64, int64, mix, pieces, word_hashes
 
-#: Words that a mask looks at, 4 of at most 8. Together they hit wherever up to 4 words of 15 or more, or 3 of 8, were replaced.
+#: Words that a mask looks at. Items of LONG_WORDS words or more have masks of 4 of at most 8 words, shorter ones of 3 of at most 7.
 MASKS = (
     (0, 1, 2, 3), (0, 1, 2, 4), (0, 2, 3, 5), (0, 1, 4, 5), (0, 2, 4, 5),
     (0, 1, 6, 7), (0, 3, 4, 7), (0, 2, 5, 7), (0, 3, 5, 7),
 )
-#: Items with fewer words are too short to tell.
-LEAST_WORDS = max(m[-1] for m in MASKS) + 1
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 2, 4), (0, 3, 4), (0, 1, 5), (0, 2, 5), (0, 3, 5), (0, 4, 5), (0, 1, 6))
+LONG_WORDS = 20
+#: Items with fewer words are found where all of their words stand in a row.
+LEAST_WORDS = 8
 #: Share of an item's words that a text must hold in order.
 OVERLAP = 0.5
 #: A passage of an item also counts if so many more of its words are held in order than not.
 PASSAGE = 20
-FILTER_BITS = 23
-#: Where the three bits of a hash stand that must all be set.
-FILTER_SHIFTS = (64 - FILTER_BITS, 64 - 2 * FILTER_BITS, 0)
+#: Bits of the filter for each seed, and the size that it has at most, as a power of 2: 32 MB.
+BITS_A_SEED, MOST_FILTER_BITS = 16, 28
 
 
-def seed_hashes(words: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def masks_of(n: int) -> tuple[tuple[int, ...], ...]:
+    """The masks of an item of n words."""
+    if n < LEAST_WORDS:
+        return (tuple(range(n)),)
+    return MASKS if n >= LONG_WORDS else SHORT_MASKS
+
+
+def seed_hashes(words: np.ndarray, at: np.ndarray, masks: Iterable[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], np.ndarray, np.ndarray]]:
     """For each mask the words at which it fits into a text, and its hashes there."""
     n = len(words)
     end = np.repeat(at[1:], np.diff(at))
-    for k, mask in enumerate(MASKS):
+    for mask in masks:
         where = np.flatnonzero(np.arange(n) + mask[-1] < end)
         if not len(where):
             continue
-        total = np.full(n - mask[-1], U64(k + 1))
+        total = np.full(n - mask[-1], U64(sum(1 << j for j in mask)))
         for j in mask:
             total *= U64(0xC6A4A7935BD1E995)
             total ^= words[j : n - mask[-1] + j]
-        yield where, mix(total[where])
+        yield mask, where, mix(total[where])
 
 
 def _lower_words(column: pa.Array):
@@ -60,13 +69,14 @@ def _lower_words(column: pa.Array):
 
 def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(seed, item_id, place) of every seed of the items."""
+    every = sorted({*MASKS, *SHORT_MASKS, *(masks_of(n)[0] for n in range(1, LEAST_WORDS))})
     for batch in batches:
         ids = batch.column(0)
         for lo, _, words, at in _lower_words(batch.column(1)):
             n = np.diff(at)
             row = np.repeat(np.arange(len(n)), n)
-            for where, hashes in seed_hashes(words, at):
-                fits = n[row[where]] >= LEAST_WORDS
+            for mask, where, hashes in seed_hashes(words, at, every):
+                fits = np.array([mask in masks_of(k) for k in n.tolist()], dtype=bool)[row[where]]
                 where, hashes = where[fits], hashes[fits]
                 r = row[where]
                 yield pa.record_batch([int64(hashes), ids.take(pa.array(r + lo)), pa.array(where - at[r])], ["seed", "item_id", "place"])
@@ -78,17 +88,18 @@ def _item_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column(0).slice(lo, hi - lo), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), int64(words))], ["item_id", "item"])
 
 
-def _text_hits_task(table, reach: int):
+def _text_hits_task(table, masks: list[tuple[int, ...]], reach: int):
     def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """For each text with hits: its word hashes around them (from first on) and the hits (seed, word)."""
         known = table.value
+        bits = int(known.size * 8).bit_length() - 1
         for batch in batches:
             ids = batch.column(0)
             for lo, _, words, at in _lower_words(batch.column(1)):
                 seeds, places = [], []
-                for where, hashes in seed_hashes(words, at):
-                    for shift in FILTER_SHIFTS:
-                        slot = (hashes >> U64(shift)) & U64((1 << FILTER_BITS) - 1)
+                for _, where, hashes in seed_hashes(words, at, masks):
+                    for shift in _shifts(bits):
+                        slot = (hashes >> U64(shift)) & U64((1 << bits) - 1)
                         ok = (known[slot >> U64(3)] >> (slot & U64(7)).astype(np.uint8)) & np.uint8(1) > 0
                         where, hashes = where[ok], hashes[ok]
                     seeds.append(hashes)
@@ -121,13 +132,23 @@ def _text_hits_task(table, reach: int):
     return hits
 
 
+def _shifts(bits: int) -> tuple[int, int, int]:
+    """Where the three numbers of a hash stand whose bits must all be set."""
+    return 64 - bits, max(64 - 2 * bits, 0), 0
+
+
 def _filter_of(seeds: DataFrame) -> np.ndarray:
-    """Bit array with three bits for each seed, built from at most 2^FILTER_BITS distinct numbers."""
-    both = F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << FILTER_BITS) - 1)).cast("int") for s in FILTER_SHIFTS])
-    slots = seeds.select(F.explode(both).alias("slot")).distinct().toPandas()["slot"].to_numpy()
-    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
-    bits[slots] = True
-    return np.packbits(bits, bitorder="little")
+    """Bit array with three bits for each seed, of BITS_A_SEED bits for each but 2^MOST_FILTER_BITS at most.
+
+    The tasks put the bits of 64 neighbours together, so the driver sees at most 2^22 rows.
+    """
+    bits = min(MOST_FILTER_BITS, max(16, (BITS_A_SEED * seeds.count()).bit_length()))
+    slots = F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit((1 << bits) - 1)).cast("int") for s in _shifts(bits)])
+    slot = seeds.select(F.explode(slots).alias("slot"))
+    cells = slot.groupBy(F.shiftright("slot", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, slot & 63)")).alias("bits")).toPandas()
+    out = np.zeros(1 << (bits - 6), dtype="<u8")
+    out[cells["cell"].to_numpy()] = cells["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return out.view(np.uint8)
 
 
 def _same(item: np.ndarray, around: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -179,6 +200,9 @@ def _verify_task(overlap: float, least: int):
             for r in range(batch.num_rows):
                 first, item, text, start = firsts[r].as_py(), *(c[r].values.to_numpy() for c in (items, around, starts))
                 n = len(item)
+                if n < LEAST_WORDS:  # the seed was the whole item
+                    rows.append((r, int(start[0]), n, 1.0))
+                    continue
                 # diagonals at most the item's length apart are one group
                 for group in np.split(start, np.flatnonzero(np.diff(start) > n) + 1):
                     same = _same(item, text, group - first)
@@ -207,9 +231,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
     than others. Words are runs of letters and digits in lower case. Where an item is found more than once in a
     text, the best place counts, then the first.
 
-    A text and an item must agree in the words of one mask: they do wherever at most 4 words of 15 or more,
-    or 3 of 8 to 14, were replaced. Items of fewer than 8 words are left out, as are null and empty texts and
-    rows with null ids. Equal rows are one text. Other columns are ignored. Empty tables give an empty one.
+    A text and an item must agree in the words of one mask. Items of 8 to 19 words do wherever half of their
+    words stand in place; of longer ones with half of their words replaced, 0.99 do. Items of fewer than 8
+    words are found where all of their words stand in a row. Left out are null and empty texts, items without
+    a word and rows with null ids. Equal rows are one text. A very long text is one step of a task (see
+    textarrays). Other columns are ignored. Empty tables give an empty one. A passage that many items share is
+    found with each of them.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id is not null and text is not null").distinct()
@@ -217,8 +244,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
     item_words = written(items.mapInArrow(_item_words, "item_id long, item array<long>"))
     reach = 2 * (item_words.agg(F.max(F.size("item"))).first()[0] or 0)  # words on either side of a hit that a verification can need
     table = spark.sparkContext.broadcast(_filter_of(seeds))
+    sizes = [r[0] for r in item_words.select(F.least(F.size("item"), F.lit(LONG_WORDS)).alias("n")).where("n > 0").distinct().collect()]
+    masks = sorted({m for n in sizes for m in masks_of(n)})
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    regions = written(texts.mapInArrow(_text_hits_task(table, reach), "doc_id long, first long, around array<long>, hits array<struct<seed: long, word: long>>").withColumn("region", F.xxhash64("doc_id", "first", "around")))
+    regions = written(texts.mapInArrow(_text_hits_task(table, masks, reach), "doc_id long, first long, around array<long>, hits array<struct<seed: long, word: long>>").withColumn("region", F.xxhash64("doc_id", "first", "around")))
     hits = regions.select("doc_id", "region", F.explode("hits").alias("h")).select("doc_id", "region", "h.seed", "h.word")
     laid = written(hits.join(seeds, "seed").groupBy("doc_id", "region", "item_id").agg(F.sort_array(F.collect_set(F.col("word") - F.col("place"))).alias("starts")))
     met = laid.join(regions.select("doc_id", "region", "first", "around").dropDuplicates(["doc_id", "region"]), ["doc_id", "region"]).join(item_words, "item_id")
@@ -232,6 +261,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLAP) -> DataFrame:
-    """The rows of docs whose text holds no benchmark item. Rows with null doc_id or text stay."""
+    """The rows of docs whose text holds no benchmark item, unchanged, whatever their other columns are called.
+
+    Rows with null doc_id or text stay, empty texts too. Of rows with one doc_id all go if one text of them
+    holds an item; equal rows go or stay together. An empty benchmark drops nothing.
+    """
     found = written(contamination(docs, benchmark, overlap).select("doc_id").distinct())
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)

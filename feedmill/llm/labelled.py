@@ -6,9 +6,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedmill.llm.scratch import written
 from feedmill.llm.textarrays import pieces
 
 #: A text's features: bucket numbers, values and each text's offsets among them.
@@ -20,12 +21,16 @@ def fold(modulus: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, fit_rows: int) -> tuple[pa.Array, np.ndarray]:
-    """Texts and 0/1 labels of at most fit_rows labelled documents outside the fold held out.
+#: Bytes of text that a fit uses at most in all, and of one text.
+FIT_BYTES, MOST_TEXT_BYTES = 64 << 20, 1 << 20
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Column, fit_rows: int, fit_bytes: int = FIT_BYTES) -> tuple[pa.Array, np.ndarray]:
+    """Texts and 0/1 labels of at most fit_rows labelled documents outside the fold held out, of fit_bytes at most together.
 
     Rows without doc_id or label are left out; of several labels of a document the largest counts, of
     several texts the least. The sample is the fit_rows ids with the least hashes, in that order, the same
-    in every run.
+    in every run, without texts of over a megabyte; it ends before fit_bytes are passed.
     """
     ids = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out)
@@ -33,9 +38,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: Co
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(ids), "doc_id")
-    found = rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select(F.xxhash64("doc_id").alias("h"), "doc_id", "text", "label").toArrow()
-    found = found.sort_by([("h", "ascending"), ("doc_id", "ascending")])
-    return found["text"].combine_chunks(), found["label"].to_numpy().astype(np.float64)
+    found = written(rows.where(F.octet_length("text") <= MOST_TEXT_BYTES).groupBy("doc_id", "label").agg(F.min("text").alias("text")).withColumn("h", F.xxhash64("doc_id")))
+    sized = found.select("doc_id", F.sum(F.octet_length("text")).over(Window.orderBy("h", "doc_id")).alias("upto"))  # at most fit_rows rows
+    taken = found.join(F.broadcast(sized.where(F.col("upto") <= fit_bytes)), "doc_id").select("h", "doc_id", "text", "label").toArrow()
+    taken = taken.sort_by([("h", "ascending"), ("doc_id", "ascending")])
+    return taken["text"].combine_chunks(), taken["label"].to_numpy().astype(np.float64)
 
 
 def as_texts(texts) -> pa.Array:
@@ -69,17 +76,22 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def batch_scores(column: pa.Array, model: tuple[np.ndarray, float], prepare: Callable[[pa.Array], pa.Array], features: Features) -> np.ndarray:
+    """Scores of the texts of a column under (weights, intercept)."""
+    weights, intercept = model
+    parts = [np.zeros(0)]
+    for _, _, data, off in pieces(prepare(column)):
+        index, value, at = features(data, off)
+        parts.append(sigmoid(row_sums(weights[index] * value, at) + intercept))
+    return np.concatenate(parts)
+
+
 def score_task(model, prepare: Callable[[pa.Array], pa.Array], features: Features, threshold: float):
     """mapInArrow function from (doc_id, text, held_out) to scores; model: broadcast (weights, intercept)."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, intercept = model.value
         for batch in batches:
-            parts = []
-            for _, _, data, off in pieces(prepare(batch.column(1))):
-                index, value, at = features(data, off)
-                parts.append(sigmoid(row_sums(weights[index] * value, at) + intercept))
-            scores = np.concatenate(parts) if parts else np.zeros(0)
+            scores = batch_scores(batch.column(1), model.value, prepare, features)
             yield pa.record_batch(
                 [batch.column(0), batch.column(2), pa.array(scores), pa.array((scores >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],

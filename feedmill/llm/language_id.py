@@ -2,12 +2,14 @@
 
 Counts come from one pass over all training texts (partial sums in the tasks, then a sum in Spark). The
 model is a matrix of log probabilities, a row for each of 2^15 hash buckets and a column for each
-language, of at most MAX_LANGS columns; that bound is checked before it is broadcast.
+language. A broadcast matrix has at most MAX_LANGS columns; further languages have matrices of their own,
+and a text goes through them one after another.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,17 +22,16 @@ from feedmill.llm.textarrays import pieces
 BITS = 15
 ORDERS = (1, 2, 3)
 SMOOTHING = 0.1
-#: Most languages that a model may have; with 2^15 buckets it stays under 70 MB.
+#: Languages in one matrix, which so stays under 70 MB; more languages are several matrices, one after another.
 MAX_LANGS = 512
 #: Code points in one vectorised step.
 STEP = 1 << 19
 
 
-def _letter_table() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x30000)])
-
-
-_LETTERS = _letter_table()
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
 
 
 def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -41,7 +42,7 @@ def code_points(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def is_letter(points: np.ndarray) -> np.ndarray:
-    return _LETTERS[np.minimum(points, len(_LETTERS) - 1)]
+    return _letters()[points]
 
 
 def grams(points: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -89,31 +90,31 @@ def _count_task(langs: list[str]):
     return count
 
 
-def fit(docs: DataFrame, lang: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages in order and their matrix of log probabilities, from all rows with text and language.
+def fit(docs: DataFrame, lang: str = "lang") -> list[tuple[list[str], np.ndarray]]:
+    """Languages in order with their matrix of log probabilities, MAX_LANGS at a time, from all rows with text and language.
 
-    The counts come to the driver summed: at most 2^15 cells for each language.
+    The counts come to the driver summed: at most 2^15 cells for each language, one matrix at a time.
     """
     known = docs.where(F.col("text").isNotNull() & F.col(lang).isNotNull()).select("text", F.col(lang).cast("string").alias("lang"))
-    priors = {r[0]: r[1] for r in known.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if len(priors) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
-    langs = sorted(priors)
-    if not langs:
-        return [], np.zeros((1 << BITS, 0), dtype=np.float32)
-    cells = known.mapInArrow(_count_task(langs), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    counts = np.zeros(len(langs) << BITS)
-    counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
-    counts = counts.reshape(len(langs), -1) + SMOOTHING
-    return langs, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()
-
-
-def score_texts(column: pa.Array, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Best language of each text, its posterior probability, and whether the text has a letter.
+    every = sorted(r[0] for r in known.select("lang").distinct().collect())
+    model = []
+    for first in range(0, len(every), MAX_LANGS):
+        langs = every[first : first + MAX_LANGS]
+        own = known.where(F.col("lang").between(langs[0], langs[-1])) if len(every) > MAX_LANGS else known
+        cells = own.mapInArrow(_count_task(langs), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+        counts = np.zeros(len(langs) << BITS)
+        counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
+        counts = counts.reshape(len(langs), -1) + SMOOTHING
+        model.append((langs, np.log(counts / counts.sum(axis=1, keepdims=True)).T.astype(np.float32).copy()))
+    return model
+
+
+def totals(column: pa.Array, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Best language of each text, its log probability, the sum of all probabilities as a multiple of it, and whether the text has a letter.
 
     The priors are equal: what share of the training texts a language has says nothing about a new text.
     """
-    best, score, lettered = [], [], []
+    parts = []
     for lo, hi, data, off in pieces(_lowered(column), STEP):
         points, at = code_points(data, off)
         total = np.zeros((hi - lo, matrix.shape[1]))
@@ -125,25 +126,32 @@ def score_texts(column: pa.Array, matrix: np.ndarray) -> tuple[np.ndarray, np.nd
                 a, b = cut[some[0]], cut[some[-1] + 1]
                 total[some] += np.add.reduceat(np.take(matrix, bucket[a:b], axis=0), cut[some] - a, axis=0)
         letters = np.concatenate(([0], np.cumsum(is_letter(points))))
-        best.append(total.argmax(axis=1))
-        score.append(1 / np.exp(np.minimum(total - total.max(axis=1, keepdims=True), 0)).sum(axis=1))
-        lettered.append(letters[at[1:]] > letters[at[:-1]])
-    if not best:
-        return np.zeros(0, int), np.zeros(0), np.zeros(0, bool)
-    return np.concatenate(best), np.concatenate(score), np.concatenate(lettered)
+        top = total.max(axis=1)
+        parts.append((total.argmax(axis=1), top, np.exp(np.minimum(total - top[:, None], 0)).sum(axis=1), letters[at[1:]] > letters[at[:-1]]))
+    if not parts:
+        return np.zeros(0, int), np.zeros(0), np.zeros(0), np.zeros(0, bool)
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def score_texts(column: pa.Array, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Best language of each text, its posterior probability, and whether the text has a letter."""
+    best, _, mass, lettered = totals(column, matrix)
+    return best, 1 / mass, lettered
 
 
-def _predict_task(model):
+def _predict_task(block, last: bool):
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        langs, matrix = model.value
-        names = np.array([*langs, "und"], dtype=object)
+        """The best language so far, its log probability and the sum of all as a multiple of it."""
+        langs, matrix = block.value
+        names = np.array(langs, dtype=object)
         for batch in batches:
-            if not langs:
-                best, score = np.zeros(batch.num_rows, int), np.zeros(batch.num_rows)
-            else:
-                best, score, lettered = score_texts(batch.column(1), matrix)
-                best, score = np.where(lettered, best, len(langs)), np.where(lettered, score, 0.0)
-            yield pa.record_batch([batch.column(0), batch.column(2), pa.array(names[best], pa.string()), pa.array(score)], ["doc_id", "held_out", "lang_pred", "score"])
+            before, top, mass = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+            best, new_top, new_mass, lettered = totals(batch.column(1), matrix)
+            most = np.maximum(top, new_top)
+            mass = mass * np.exp(top - most) + new_mass * np.exp(new_top - most)
+            name = np.where(lettered, np.where(new_top > top, names[best], before), None)
+            text = pa.nulls(batch.num_rows, pa.string()) if last else batch.column(1)
+            yield pa.record_batch([batch.column(0), text, batch.column(2), pa.array(name, pa.string()), pa.array(most), pa.array(mass)], ["doc_id", "text", "held_out", "best", "top", "mass"])
 
     return predict
 
@@ -153,11 +161,20 @@ def identify(docs: DataFrame, train: DataFrame, held_out: Column | None = None)
 
     Returns doc_id, held_out (the given column, false by default), lang_pred and score, the posterior
     probability. Null text or text without a letter: 'und' with score 0; so are all texts if train has no
-    row with text and language. Only text is an input of a prediction; other columns are ignored.
+    row with text and language. Equal texts have equal results; of languages that are equally likely the
+    first in order counts. Only text is an input of a prediction; other columns are ignored. A very long text
+    is one step of a task and needs some 100 bytes of memory for each of its code points. An empty table gives
+    an empty one.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(train))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.lit(False) if held_out is None else held_out).alias("held_out"))
-    return rows.mapInArrow(_predict_task(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.lit(False) if held_out is None else held_out).alias("held_out"),
+        F.lit(None).cast("string").alias("best"), F.lit(float("-inf")).alias("top"), F.lit(0.0).alias("mass"),
+    )
+    model = fit(train)
+    for k, block in enumerate(model):
+        matrix = docs.sparkSession.sparkContext.broadcast(block)
+        rows = rows.mapInArrow(_predict_task(matrix, k == len(model) - 1), "doc_id long, text string, held_out boolean, best string, top double, mass double")
+    return rows.select("doc_id", "held_out", F.coalesce("best", F.lit("und")).alias("lang_pred"), F.when(F.col("best").isNotNull(), 1 / F.col("mass")).otherwise(0.0).alias("score"))
 
 
 def fold(modulus: int) -> Column:

@@ -2,10 +2,10 @@
 
 A text of n tokens in a bucket with upper bound u is padded by u - n. One aggregate counts the texts of
 each length; dynamic programming over that histogram finds the bounds with the least padding in all. The
-histogram has a row for each length that occurs, never one for each text; it and the counts of at most
-20,000 shares are what the driver sees. Inside a bucket, texts stand in
-order of length and fill batches of floor(budget / u) texts. Ranks in a bucket come from counts of small
-shares of it, so a bucket is never sorted in one task.
+histogram has a row for each length that occurs, never one for each text, and is what the driver sees.
+Inside a bucket, texts stand in order of length and fill batches of floor(budget / u) texts. The order is
+one sort by ranges over all tasks, whatever the lengths; a text's place in its bucket is its place in its
+task and the number of the bucket's texts in the tasks before.
 """
 
 from __future__ import annotations
@@ -18,8 +18,6 @@ from feedmill.llm.scratch import written
 
 BUCKETS = 16
 BUDGET = 32_768
-#: Rows that are ranked together, about; more where that would make over MOST_SHARES shares.
-SHARE, MOST_SHARES = 5_000, 20_000
 
 
 def word_count(text: Column) -> Column:
@@ -70,44 +68,62 @@ def bucket_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list
     return sorted(set(ends))
 
 
-def pack(docs: DataFrame, n_tokens: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+def pack(docs: DataFrame, n_tokens: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET, carry: tuple[str, ...] = ()) -> DataFrame:
     """Place every text in a length bucket and a batch.
 
     n_tokens: the length of a text, its number of words by default. Returns doc_id, n_tokens, bucket (from 0
-    on, ascending), padded_to (its upper bound), batch (from 0 on inside a bucket) and slot (place in the
-    batch). Each batch but the last of a bucket holds floor(budget / padded_to) texts, or one where that
-    is 0: a text longer than the budget is a batch of its own and stays whole.
+    on, ascending), padded_to (its upper bound), batch (from 0 on inside a bucket), slot (place in the
+    batch), and the columns of docs named by carry. Each batch but the last of a bucket holds
+    floor(budget / padded_to) texts, or one where that is 0: a text longer than the budget is a batch of its
+    own and stays whole.
 
     Null and empty texts have length 0 and are packed like others (a bucket of length 0 holds budget texts
-    a batch). Null doc_ids and equal rows keep a row each. Ties of length go by doc_id, then by text; equal
-    rows are alike. Other columns are ignored. An empty table gives an empty one.
+    a batch). Null doc_ids come first and keep a row each, as do equal rows. Ties of length go by doc_id, then
+    by a hash of the text; equal rows are alike. Columns of docs that are not carried are ignored. An empty
+    table gives an empty one.
     """
-    sized = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(word_count(F.col("text")) if n_tokens is None else n_tokens.cast("long"), F.lit(0)).alias("n_tokens"), F.xxhash64("text").alias("mark")))
+    sized = written(
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(word_count(F.col("text")) if n_tokens is None else n_tokens.cast("long"), F.lit(0)).alias("n_tokens"),
+            F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("spread"), F.struct(F.lit(0), *carry).alias("carried"),
+        )
+    )
     histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").toPandas()
-    lengths, counts = histogram["n_tokens"].to_numpy(dtype=np.int64), histogram["count"].to_numpy(dtype=np.int64)
-    bounds = bucket_bounds(lengths, counts, buckets) or [0]
+    bounds = bucket_bounds(histogram["n_tokens"].to_numpy(dtype=np.int64), histogram["count"].to_numpy(dtype=np.int64), buckets) or [0]
     edges = F.array(*[F.lit(b) for b in bounds])
     bucket = F.aggregate(edges, F.lit(0), lambda n, b: n + F.when(F.col("n_tokens") > b, 1).otherwise(0))
-    # a share is a run of lengths, or of doc_id hashes where one length alone has too many texts
-    share = max(SHARE, int(counts.sum()) // MOST_SHARES)
-    cut = np.maximum(np.ceil(counts / share), 1).astype(int)
-    group = np.cumsum(counts) // share
-    steps = written(docs.sparkSession.createDataFrame(list(zip(lengths.tolist(), group.tolist(), cut.tolist(), strict=True)), "n_tokens long, run long, pieces int")) if len(lengths) else None
-    if steps is None:
-        return sized.select("doc_id", "n_tokens", F.lit(0).alias("bucket"), F.lit(0).cast("long").alias("padded_to"), F.lit(0).cast("long").alias("batch"), F.lit(0).cast("long").alias("slot")).limit(0)
-    # lengths with several pieces are cut by ranges of the doc_id hash
-    placed = sized.join(F.broadcast(steps), "n_tokens") if len(lengths) <= 200_000 else sized.join(steps, "n_tokens")
-    piece = F.when(F.col("pieces") > 1, F.floor((F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) * F.col("pieces")) / F.lit(1 << 20))).otherwise(0).cast("int")
-    placed = placed.select("doc_id", "n_tokens", "mark", bucket.alias("bucket"), F.struct(F.when(F.col("pieces") > 1, F.col("n_tokens")).otherwise(-F.col("run") - 1).alias("run"), piece.alias("piece")).alias("share"))
-    sizes = placed.groupBy("bucket", "share").agg(F.count("*").alias("n"), F.min("n_tokens").alias("least"))
-    table = sizes.toPandas()
-    table["run"], table["piece"] = [s["run"] for s in table["share"]], [s["piece"] for s in table["share"]]
-    table = table.sort_values(["bucket", "least", "run", "piece"])
-    table["before"] = table.groupby("bucket")["n"].cumsum() - table["n"]
-    starts = docs.sparkSession.createDataFrame([(int(b), (int(r), int(p)), int(x)) for b, r, p, x in zip(table["bucket"], table["run"], table["piece"], table["before"], strict=True)], "bucket int, share struct<run: long, piece: int>, before long")
-    own = Window.partitionBy("bucket", "share").orderBy("n_tokens", "doc_id", "mark")
-    ranked = placed.withColumn("rank", F.row_number().over(own) - 1)
-    ranked = ranked.join(F.broadcast(starts) if len(table) <= 200_000 else starts, ["bucket", "share"]).withColumn("rank", F.col("rank") + F.col("before"))
+    # in order over all tasks; spread deals out rows that are alike
+    order = ("n_tokens", "doc_id", "mark", "spread")
+    placed = written(sized.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "carried", bucket.alias("bucket"), F.monotonically_increasing_id().alias("at")))
+    part = F.shiftrightunsigned("at", 33).alias("part")
+    sizes = placed.groupBy("bucket", part).agg(F.count("*").alias("n"), F.min("at").alias("first"))  # at most a row for each task and bucket
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = written(sizes.select("bucket", "part", (before - F.col("first")).alias("shift")))
+    rank = F.col("at") + F.col("shift")
     upper = F.element_at(edges, F.col("bucket") + 1).cast("long")
     fit = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(upper, F.lit(1)))).cast("long")
-    return ranked.select("doc_id", "n_tokens", "bucket", upper.alias("padded_to"), F.floor(F.col("rank") / fit).cast("long").alias("batch"), (F.col("rank") % fit).alias("slot"))
+    return placed.withColumn("part", part).join(F.broadcast(starts), ["bucket", "part"]).select(
+        "doc_id", "n_tokens", "bucket", upper.alias("padded_to"), F.floor(rank / fit).cast("long").alias("batch"), (rank % fit).alias("slot"), *[F.col("carried")[c].alias(c) for c in carry]
+    )
+
+
+#: The same in DuckDB: every split of every prefix of the lengths is tried.
+SQL = rf"""
+WITH RECURSIVE sized AS (SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n FROM documents),
+hist AS (SELECT row_number() OVER (ORDER BY n) AS j, n, sum(count(*)) OVER (ORDER BY n) AS texts, sum(count(*) * n) OVER (ORDER BY n) AS tokens FROM sized GROUP BY n),
+best AS (
+  SELECT 1 AS k, j, CAST(texts * n - tokens AS BIGINT) AS cost, CAST(0 AS BIGINT) AS split FROM hist
+  UNION ALL
+  SELECT k, j, c.cost, c.split FROM (
+    SELECT b.k + 1 AS k, h.j, min({{'cost': CAST(CASE WHEN b.j = h.j THEN b.cost ELSE b.cost + (h.texts - i.texts) * h.n - (h.tokens - i.tokens) END AS BIGINT), 'split': b.j}}) AS c
+    FROM best b JOIN hist i ON i.j = b.j JOIN hist h ON h.j >= b.j
+    WHERE b.k < least({BUCKETS}, (SELECT count(*) FROM hist)) GROUP BY b.k, h.j)),
+choice AS (
+  SELECT k, j, split FROM best WHERE (k, j) = (SELECT (max(k), max(j)) FROM best)
+  UNION ALL SELECT b.k, b.j, b.split FROM choice c JOIN best b ON b.k = c.k - 1 AND b.j = c.split),
+bounds AS (SELECT CAST(row_number() OVER (ORDER BY n) - 1 AS INTEGER) AS bucket, n AS padded_to FROM (SELECT DISTINCT n FROM choice JOIN hist USING (j))),
+ranked AS (
+  SELECT doc_id, n, bucket, padded_to, row_number() OVER (PARTITION BY bucket ORDER BY n, doc_id NULLS FIRST) - 1 AS place, greatest(1, {BUDGET} // greatest(padded_to, 1)) AS fit
+  FROM sized ASOF JOIN bounds ON sized.n <= bounds.padded_to)
+SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, bucket, CAST(padded_to AS BIGINT) AS padded_to, CAST(place // fit AS BIGINT) AS batch, CAST(place % fit AS BIGINT) AS slot FROM ranked
+"""

@@ -116,7 +116,9 @@ def score_quality(docs: DataFrame, labelled: DataFrame, labels: DataFrame, held_
 
     Null and empty texts get the score of the intercept; so do all texts if the labels hold one class
     only (then near 0 or 1, and near 1 without any). A null doc_id counts as held out. Labels, language,
-    source and doc_id are not inputs of a score. Equal texts have equal scores.
+    source and doc_id are not inputs of a score. Equal texts have equal scores. A very long text is scored whole,
+    as one step of a task (see textarrays); texts of over a megabyte are no samples of the fit. Other columns are
+    ignored; an empty table gives an empty one.
     """
     out = F.lit(False) if held_out is None else held_out
     model = docs.sparkSession.sparkContext.broadcast(fit(*training_sample(labelled, labels, "quality", out, fit_rows)))

@@ -65,4 +65,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": substring_dedup.SQL, "op3_chat_rotation": chat_rotation.SQL, "op6_secret_scan": secret_scan.SQL, "op7_jaccard_join": jaccard_join.SQL}
+    return {
+        "op1_substring_dedup": substring_dedup.SQL,
+        "op3_chat_rotation": chat_rotation.SQL,
+        "op6_secret_scan": secret_scan.SQL,
+        "op7_jaccard_join": jaccard_join.SQL,
+        "op10_packing": packing.SQL,
+    }

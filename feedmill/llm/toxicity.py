@@ -1,11 +1,11 @@
 """Toxicity: a sparse logistic classifier with counterfactual regularisation.
 
 The features of a text are its distinct lower-case words and the first four bytes of each, hashed.
-For every labelled text that names a group of people, a counterfactual is made: each identity term is
-swapped for the next one of its list. The fit penalises the squared change of the score between the two
-(Garg et al., "Counterfactual Fairness in Text Classification through Robustness", 2019), so a term on
-which the label does not depend gets no weight that its neighbours lack, and neutral mentions of a group
-are not flagged. An L1 term keeps the weights of ordinary words at zero.
+Every labelled text has a counterfactual: where it names a group of people, each identity term is swapped
+for the next one of its list; where it names none, a mention is added, of each term in turn. The fit
+penalises the squared change of the score between the two (Garg et al., "Counterfactual Fairness in Text
+Classification through Robustness", 2019), so a term on which the label does not depend gets no weight,
+and neutral mentions of a group are not flagged. An L1 term keeps the weights of ordinary words at zero.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.labelled import as_texts, fold, row_sums, score_rows, sigmoid, training_sample
+from feedmill.llm.labelled import as_texts, batch_scores, fold, row_sums, score_rows, sigmoid, training_sample
 from feedmill.llm.textarrays import NOT_ALNUM, U64, hash_ranges, pieces, word_bounds
 
 BITS = 18
@@ -62,10 +62,10 @@ def lowered(column: pa.Array) -> pa.Array:
 
 
 def _buckets(lower: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets as 32-bit numbers and the texts' offsets among them."""
+    """Buckets as 32-bit numbers and how many each text has."""
     parts = [features(data, off) for _, _, data, off in pieces(lower)]
     index = np.concatenate([np.zeros(0, np.int32), *[i.astype(np.int32) for i, _, _ in parts]])
-    return index, np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *[np.diff(at) for _, _, at in parts]]))]).astype(np.int64)
+    return index, np.concatenate([np.zeros(0, np.int64), *[np.diff(at) for _, _, at in parts]])
 
 
 def counterfactuals(lower: pa.Array, groups=IDENTITY_TERMS) -> tuple[np.ndarray, pa.Array]:
@@ -74,42 +74,72 @@ def counterfactuals(lower: pa.Array, groups=IDENTITY_TERMS) -> tuple[np.ndarray,
     return named, pa.array([swap_terms(t, groups) for t in lower.take(pa.array(named)).to_pylist()], pa.string())
 
 
+def _rows(lower: pa.Array, groups) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all rows of the fit and how many each has, and the pairs of rows whose scores should be alike.
+
+    First the texts, then each text that names no group with a mention added, in turn of every term, then the
+    texts that name one with the terms swapped.
+    """
+    terms = [t for g in groups for t in g]
+    index, counts = _buckets(lower)
+    ends = np.cumsum(counts)
+    named, swapped = counterfactuals(lower, groups)
+    plain = np.setdiff1d(np.arange(len(lower)), named)
+    of_terms, sizes = _buckets(pa.array(terms, pa.string()))
+    own = np.split(of_terms, np.cumsum(sizes)[:-1])
+    added = [np.concatenate([index[ends[k] - counts[k] : ends[k]], own[j % len(terms)]]) for j, k in enumerate(plain.tolist())] if terms else []
+    more, more_counts = _buckets(swapped)
+    first = len(lower)
+    index = np.concatenate([index, *added, more])
+    counts = np.concatenate([counts, np.array([len(x) for x in added], dtype=np.int64), more_counts])
+    pairs = np.concatenate([np.stack([plain[: len(added)], first + np.arange(len(added))], axis=1), np.stack([named, first + len(added) + np.arange(len(named))], axis=1)])
+    return index, counts, pairs, plain[: len(added)]
+
+
+def _differs(pairs: np.ndarray, index: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Whether a bucket ever stands in one row of a pair alone."""
+    out = np.zeros(width, dtype=bool)
+    for a, b in pairs.tolist():
+        out[np.setxor1d(index[at[a] : at[a + 1]], index[at[b] : at[b + 1]])] = True
+    return out
+
+
 def fit(texts, labels: np.ndarray, groups=IDENTITY_TERMS, counterfactual: float = COUNTERFACTUAL, steps: int = STEPS) -> tuple[np.ndarray, float]:
-    """Weights and intercept by accelerated proximal gradient steps on the whole sample."""
+    """Weights and intercept by accelerated proximal gradient steps on the whole sample.
+
+    A text with a mention added is a sample too, with the text's label; one with swapped terms is not.
+    """
     rare = labels.mean() if len(labels) else 0.0
     if not 0 < rare < 1:
         return np.zeros(1 << BITS), -5.0 if rare == 0 else 5.0
-    lower = lowered(as_texts(texts))
-    pick, changed = counterfactuals(lower, groups)
-    index, at = _buckets(lower)
-    cf_index, cf_at = _buckets(changed)
+    index, counts, pairs, added = _rows(lowered(as_texts(texts)), groups)
+    labels = np.concatenate([labels, labels[added]])
     # number the buckets that occur
     seen = np.zeros(1 << BITS, dtype=bool)
-    seen[index] = seen[cf_index] = True
+    seen[index] = True
     used = np.flatnonzero(seen)
-    number = np.cumsum(seen, dtype=np.int32) - np.int32(1)
-    index, cf_index = number[index], number[cf_index]
-    row = np.repeat(np.arange(len(labels), dtype=np.int32), np.diff(at))
-    cf_row = np.repeat(np.arange(len(pick), dtype=np.int32), np.diff(cf_at))
+    index = (np.cumsum(seen, dtype=np.int32) - np.int32(1))[index]
+    at = np.concatenate(([0], np.cumsum(counts)))
+    row = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     n, width = len(labels), len(used)
     # a diagonal bound of the curvature gives each weight its own step; the mean text size makes it safe
-    seen = np.bincount(index, minlength=width) + 2 * counterfactual * np.bincount(cf_index, minlength=width)
-    size = max(1.0, float(np.diff(at).mean()))
+    trained = (np.arange(len(counts)) < n).astype(np.float64)
+    paired = np.bincount(pairs.reshape(-1), minlength=len(counts))
+    seen = np.bincount(index, weights=trained[row], minlength=width) + 2 * counterfactual * np.bincount(index, weights=paired[row], minlength=width) * _differs(pairs, index, at, width)
+    size = max(1.0, float(counts.mean()))
     rate = 1.0 / (0.25 * np.maximum(seen, 1) / n * min(size, 24.0) + L2)
     w, b = np.zeros(width), float(np.log(rare / (1 - rare)))
     ahead, ahead_b, momentum = w.copy(), b, 1.0
     last = np.inf
     for _ in range(steps):
         z = row_sums(ahead[index], at) + ahead_b
-        error = (sigmoid(z) - labels) / n
-        slope = np.bincount(index, weights=error[row], minlength=width) + L2 * ahead
-        loss = np.mean(np.logaddexp(0, z) - labels * z) + L1 * np.abs(ahead).sum()
-        if len(pick):
-            gap = z[pick] - row_sums(ahead[cf_index], cf_at) - ahead_b
-            pull = np.zeros(n)
-            pull[pick] = 2 * counterfactual * gap / n
-            slope += np.bincount(index, weights=pull[row], minlength=width) - np.bincount(cf_index, weights=pull[pick][cf_row], minlength=width)
-            loss += counterfactual * np.sum(gap**2) / n
+        error = (sigmoid(z[:n]) - labels) / n
+        gap = z[pairs[:, 0]] - z[pairs[:, 1]]
+        push = np.concatenate([error, np.zeros(len(counts) - n)])
+        np.add.at(push, pairs[:, 0], 2 * counterfactual * gap / n)
+        np.add.at(push, pairs[:, 1], -2 * counterfactual * gap / n)
+        slope = np.bincount(index, weights=push[row], minlength=width) + L2 * ahead
+        loss = np.mean(np.logaddexp(0, z[:n]) - labels * z[:n]) + L1 * np.abs(ahead).sum() + counterfactual * np.sum(gap**2) / n
         new = ahead - rate * slope
         new = np.sign(new) * np.maximum(np.abs(new) - rate * L1, 0)
         new_b = ahead_b - 2.0 * float(error.sum())
@@ -131,7 +161,9 @@ def score_toxicity(docs: DataFrame, labelled: DataFrame, labels: DataFrame, held
 
     Null and empty texts get the score of the intercept; so do all texts if the labels hold one class
     only (then near 0 or 1, and near 0 without any). A null doc_id counts as held out. Labels, language,
-    source and doc_id are not inputs of a score. Equal texts have equal scores.
+    source and doc_id are not inputs of a score. Equal texts have equal scores. A very long text is scored whole,
+    as one step of a task (see textarrays); texts of over a megabyte are no samples of the fit. Other columns are
+    ignored; an empty table gives an empty one.
     """
     out = F.lit(False) if held_out is None else held_out
     model = docs.sparkSession.sparkContext.broadcast(fit(*training_sample(labelled, labels, "toxic", out, fit_rows)))
@@ -144,20 +176,18 @@ def score_held_out(docs: DataFrame, labels: DataFrame, labelled: DataFrame | Non
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
-    """The rows of docs whose text the classifier does not call toxic, unchanged."""
-    spark = docs.sparkSession
+    """The rows of docs whose text the classifier does not call toxic, unchanged, whatever their other columns are called.
+
+    The classifier is that of score_held_out. Null and empty texts stay unless toxic texts are the rule among the
+    labels; rows with null doc_id are judged by their text. Equal rows stay or go together. Without labels of
+    both kinds all rows stay, or none if all labels are toxic. An empty table gives an empty one.
+    """
     out = F.coalesce(fold(3) == 1, F.lit(True))
-    model = spark.sparkContext.broadcast(fit(*training_sample(docs if labelled is None else labelled, labels, "toxic", out, FIT_ROWS)))
-    schema = docs.schema
+    model = docs.sparkSession.sparkContext.broadcast(fit(*training_sample(docs if labelled is None else labelled, labels, "toxic", out, FIT_ROWS)))
     place = docs.columns.index("text")
 
     def keep(batches):
-        weights, intercept = model.value
         for batch in batches:
-            scores = [np.zeros(0)]
-            for _, _, data, off in pieces(lowered(batch.column(place))):
-                index, value, at = features(data, off)
-                scores.append(sigmoid(row_sums(weights[index] * value, at) + intercept))
-            yield batch.filter(pa.array(np.concatenate(scores) < THRESHOLD))
+            yield batch.filter(pa.array(batch_scores(batch.column(place), model.value, lowered, features) < THRESHOLD))
 
-    return docs.mapInArrow(keep, schema)
+    return docs.mapInArrow(keep, docs.schema)

@@ -95,3 +95,40 @@ def test_words_on_shifted_diagonals_add_up(spark):
     got = sorted((r.doc_id, r.item_id, r.first_word, r.n_match) for r in D.contamination(d, b).collect())
     assert got == [(1, 1, 9, 45), (2, 1, 0, 43), (3, 2, 50, 29)]
     assert sorted(r.doc_id for r in D.drop_contaminated(d, b).collect()) == [4, 5, 6, 7]
+
+
+def test_recall_over_the_whole_range(spark):
+    """10 to 50 % of the words of items of 8 to 60 replaced at random: 0.97 are found at every length and share."""
+    rng = random.Random(11)
+    items = {n: [f"w{n}x{j}" for j in range(n)] for n in (8, 9, 11, 12, 14, 15, 17, 19, 20, 21, 24, 30, 45, 60)}
+    docs, of = [], {}
+    for n, v in items.items():
+        for share in (0.1, 0.2, 0.3, 0.4, 0.5):
+            for _ in range(60):
+                gone = set(rng.sample(range(n), int(n * share)))
+                of[len(docs)] = (n, share)
+                docs.append((len(docs), " ".join(["before"] * rng.randint(0, 5) + ["other" if j in gone else x for j, x in enumerate(v)] + ["after"])))
+    got = found(spark, docs, [(n, " ".join(v)) for n, v in items.items()])
+    hits = {}
+    for i, key in of.items():
+        hits[key] = hits.get(key, 0) + ((i, key[0]) in got)
+    assert min(hits.values()) >= 58 and len(got) == sum(hits.values())
+
+
+def test_short_items_are_found_in_full_alone(spark):
+    items = [(1, "Alpha"), (2, "alpha beta"), (3, "one two three, four five six seven"), (4, "...")]
+    docs = [(1, "x alpha y"), (2, "alpha, BETA"), (3, "so one two three four five six seven eight"), (4, "one two three x five six seven"), (5, "beta alph a")]
+    assert found(spark, docs, items) == {(1, 1), (2, 1), (2, 2), (3, 3)}
+
+
+def test_the_filter_grows_with_the_seeds(spark):
+    from pyspark.sql import functions as F
+
+    few, many = (D._filter_of(spark.range(n).select(F.xxhash64("id").alias("seed"))) for n in (10, 20_000))
+    assert len(few) * 8 == 1 << 16 and len(many) * 8 == 1 << 19 and 0.08 < (many != 0).mean() < 0.9
+
+
+def test_a_very_long_text(spark):
+    item = " ".join(f"bench{k}" for k in range(30))
+    docs = [(1, "word other " * 200_000 + item + " tail" * 1000), (2, "word other " * 200_000)]
+    assert found(spark, docs, [(1, item)]) == {(1, 1)}

@@ -62,3 +62,48 @@ def test_edge_rows(spark):
     empty = docs.where("doc_id > 9")
     assert L.identify(empty, docs).count() == 0
     assert {r.lang_pred for r in L.identify(docs, empty).collect()} == {"und"}
+
+
+def brute_force(train, texts):
+    """Multinomial naive Bayes over the buckets of the grams, one at a time: (language, posterior) of each text."""
+    from math import exp, log
+
+    def buckets(text):
+        out = []
+        for lo, hi, data, off in L.pieces(L._lowered(pa.array([text]))):
+            points, at = L.code_points(data, off)
+            out += [int(b) for bucket, _ in L.grams(points, at) for b in bucket]
+        assert len(out) == len(slow_grams(text))
+        return out
+
+    counts = {}
+    for text, lang in train:
+        own = counts.setdefault(lang, {})
+        for b in buckets(text):
+            own[b] = own.get(b, 0) + 1
+    out = []
+    for text in texts:
+        if text is None or not any(c.isalpha() for c in text):
+            out.append(("und", 0.0))
+            continue
+        total = {x: sum(log((n.get(b, 0) + L.SMOOTHING) / (sum(n.values()) + L.SMOOTHING * 2**L.BITS)) for b in buckets(text)) for x, n in counts.items()}
+        best = min(total, key=lambda x: (-total[x], x))
+        out.append((best, 1 / sum(exp(v - total[best]) for v in total.values())))
+    return out
+
+
+@pytest.mark.parametrize("most", [512, 2])
+def test_equals_brute_force(spark, monkeypatch, most):
+    """With one matrix and with a matrix for every two languages; ties, repeated rows and letters beyond U+2FFFF among the texts."""
+    monkeypatch.setattr(L, "MAX_LANGS", most)
+    train = [("the house and the tree", "en"), ("das haus und der baum", "de"), ("la maison et les arbres", "fr"), ("la casa y los árboles", "es"), ("a casa e as árvores", "pt"), ("das haus", "de"), ("\U00030000\U00030001 \U00030002", "zz")]
+    texts = ["the tree", "der baum und das haus", "les arbres", "los", "árvores as", "la", "12 .", "", None, "\U00030001", "\U00030000\U00030002", "the tree", "q"]
+    docs = spark.createDataFrame([(k, t, "en", 1) for k, t in enumerate(texts)], "doc_id long, text string, lang string, top int")
+    got = {r.doc_id: r for r in L.identify(docs, spark.createDataFrame(train, "text string, lang string")).collect()}
+    for k, (lang, score) in enumerate(brute_force(train, texts)):
+        assert got[k].lang_pred == lang and got[k].score == pytest.approx(score, abs=1e-4), texts[k]
+
+
+def test_a_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "the house and the tree " * 100_000, "en"), (2, "das haus und der baum", "de")], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in L.identify(docs, docs).collect()} == {1: "en", 2: "de"}

@@ -23,14 +23,15 @@ def test_bounds_are_optimal(seed):
         assert len(got) <= k and padding(lengths, counts, got) == best
 
 
-@pytest.mark.parametrize("share", [5, 5000])
-def test_batches(spark, monkeypatch, share):
-    monkeypatch.setattr(P, "SHARE", share)
+@pytest.mark.parametrize("partitions", ["1", "9"])
+def test_batches(spark, partitions):
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     rng = random.Random(1)
     rows = [(i, " ".join("x" * rng.choice([0, 1, 5, 5, 5, 30, 31, rng.randint(1, 300)]))) for i in range(400)]
     rows += [(None, "a b"), (7, None), (7, None), (900, "y " * 5000), (901, "")]
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, batch int")
     got = [r.asDict() for r in P.pack(docs, buckets=5, budget=1000).collect()]
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == sorted((str(i), len((t or "").split())) for i, t in rows)
     buckets = defaultdict(list)
     for r in got:
@@ -47,3 +48,27 @@ def test_batches(spark, monkeypatch, share):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert P.pack(docs).count() == 0
+
+
+def test_one_length_and_no_ids_are_spread_over_tasks(spark):
+    """Rows of one length without ids, all alike: they fill batches in order, dealt out to many tasks."""
+    docs = spark.range(3000).selectExpr("cast(null as long) as doc_id", "'a b c' as text", "id as slot").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    out = P.pack(docs, budget=30, carry=("text",))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = out.collect()
+    assert sorted((r.batch, r.slot) for r in rows) == [(k // 10, k % 10) for k in range(3000)] and {r.text for r in rows} == {"a b c"}
+    placed = spark.read.parquet(next(f for f in out.inputFiles()).rsplit("/", 1)[0])
+    assert placed.selectExpr("shiftrightunsigned(at, 33) as task").distinct().count() > 1
+
+
+def test_sql_equals_packing(spark):
+    import duckdb
+
+    rng = random.Random(4)
+    rows = [(i, " ".join("x" * rng.choice([0, 1, 5, 30, 31, rng.randint(1, 300)]))) for i in range(400)] + [(None, "a b"), (900, None), (901, "y " * 40_000)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar)")
+    con.executemany("insert into documents values (?, ?)", rows)
+    got = P.pack(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, con.sql(P.SQL).select(*got.columns).fetchall()))
