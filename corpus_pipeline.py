@@ -2,14 +2,16 @@
 
 Toxic documents go, one document of each group of near copies stays, documents that hold benchmark items
 go, secrets are masked, and what is left is packed into batches. Clean documents pass all stages unchanged.
+
+Every stage is lazy over its docs, which may be the result of another stage that is not written yet. Rows with
+null or empty columns, equal rows and columns of any names are defined by each stage's operator.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import decontamination, jaccard_join, packing, secret_scan, toxicity
-from feedmill.llm.scratch import release, written
+from feedmill.llm import decontamination, jaccard_join, packing, scratch, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,24 +19,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not call toxic, as they are; it learns from the labels and from docs. See toxicity.reject_toxic."""
     return toxicity.reject_toxic(docs, _table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies, as it is, and those without doc_id or words. See jaccard_join.keep_one."""
     return jaccard_join.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    release(spark)  # docs is the written result of the stage before, so its intermediate tables can go
+    """Documents without a benchmark item, as they are. See decontamination.drop_contaminated."""
     return decontamination.drop_contaminated(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with [SECRET] for each secret in text and n_chars to match; models are trained on docs. See secret_scan.redact."""
     return secret_scan.redact(docs, secret_scan.fit(secret_scan.corpus_samples(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs)
+    """All documents with their place in length buckets and batches, and their text. See packing.pack."""
+    return packing.pack(docs, carry=("text",))
 
 
 STAGES = [
@@ -45,15 +51,17 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The classifier and the similarity join have no SQL form; tests compare run() with brute force.
+#: The classifier has no SQL form; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Packed batches of documents: all stages, each one's result written and read again."""
+    """Packed batches of documents with their masked texts: all stages, each one's result written and read again.
+
+    The tables that a stage writes on its way are deleted with it.
+    """
     docs = _table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = written(docs, keep=True)
+    for _, stage in STAGES:
+        with scratch.tables(spark):
+            docs = scratch.outside(stage(spark, docs, sf_dir))
     return docs
