@@ -43,6 +43,10 @@ LEAST_CHUNK, MOST_CHUNK, CHUNKS = 64, 512, 32
 GIANT = 16_384
 
 
+#: Keys of candidates that are broadcast to the texts at most, some 50 MB; more are joined by a shuffle of the texts.
+BROADCAST_ROWS = 500_000
+
+
 class Bands(NamedTuple):
     """How candidates are found: bands of rows MinHash values each, and whether pairs are pruned by them before they are verified."""
 
@@ -257,10 +261,12 @@ def similar_sets(texts: DataFrame, reps: DataFrame, threshold: float, scheme: Ba
     if sizes.limit(1).count():
         apart = written(met.join(groups.join(sizes, "grp", "left_semi"), "set_id").join(bands, "band").select("set_id", F.col("band").alias("grp")))
         blocks = blocks.union(_chunked(apart, True))
-    members = written(blocks.groupBy("set_id").agg(F.collect_list("block").alias("blocks")))  # at most one for each band
-    asked = written(reps.select("set_id", "doc_id", "mark").join(members, "set_id"))
+    members = written(blocks.groupBy("set_id").agg(F.collect_list("block").alias("blocks")))  # a set's blocks, at most one for each band
+    asked = written(reps.select("set_id", "doc_id", "mark").join(members.select("set_id"), "set_id", "left_semi"))
+    if asked.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        asked = F.broadcast(asked)
     sets = (
-        texts.join(asked, ["doc_id", "mark"]).select("set_id", "blocks", "text").dropDuplicates(["set_id"])
+        texts.join(asked, ["doc_id", "mark"]).select("set_id", "text").join(members, "set_id").select("set_id", "blocks", "text").dropDuplicates(["set_id"])
         .mapInArrow(_shingle_sets, f"set_id long, blocks {_BLOCKS}, shingles binary")
     )
     dealt = sets.select("set_id", "shingles", F.explode("blocks").alias("b")).select("set_id", "shingles", "b.*")
@@ -344,7 +350,8 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 #: The definition in DuckDB: Jaccard indexes of all sets that share a shingle.
 SQL = r"""
-WITH RECURSIVE doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^ 	-]+'), []) AS w FROM documents),
+WITH RECURSIVE doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^ 	-
+]+'), []) AS w FROM documents),
 shingled AS (SELECT r, doc_id, list_sort(list_distinct([array_to_string(w[k:k + 4], ' ') FOR k IN range(1, greatest(len(w) - 3, 2))])) AS s FROM doc WHERE len(w) > 0 AND doc_id IS NOT NULL),
 named AS (SELECT *, md5(array_to_string(s, chr(10))) AS k FROM shingled),
 sets AS (SELECT k, len(any_value(s)) AS n, any_value(s) AS s, min(doc_id) AS least, count(*) AS n_copies FROM named GROUP BY k),

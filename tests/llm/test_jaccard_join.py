@@ -4,7 +4,6 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from feedmill.llm import jaccard_join as J
-from feedmill.llm import scratch
 from feedmill.llm.components import components
 
 
@@ -95,7 +94,6 @@ def test_components_of_a_path_and_a_star(spark):
     links = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.range(200, 260).select(F.lit(150).cast("long"), "id"))
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 150: 150, **{i: 150 for i in range(200, 260)}}
-    scratch.release(spark)
 
 
 def by_rows(rows, t=0.8):
