@@ -42,16 +42,16 @@ def explode_items(responses: DataFrame) -> DataFrame:
     return out.where("title <> '' or link <> ''").withColumnRenamed("pos", "item_pos")
 
 
-def parse_articles(feeds: DataFrame, responses: DataFrame) -> DataFrame:
-    """Articles of all feeds that have a 2xx response.
+def parse_articles(feeds: DataFrame, responses: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Articles of all feeds that have a 2xx response, with the columns of the responses that carry names.
 
     Bodies are parsed where they lie; only items travel to the join with the feeds.
     """
-    items = explode_items(ok_responses(responses).select(F.col("url").alias("xml_url"), "body"))
+    items = explode_items(ok_responses(responses).select(F.col("url").alias("xml_url"), "body", *carry))
     out = items.join(feeds, "xml_url")
     return out.select(
         article_id("line_no", "item_pos").alias("article_id"), "title", "link", markup.parse_feed_date("date_text").alias("pub_date"),
-        "description", F.col("name").alias("source_name"), F.col("html_url").alias("source_url"), F.col("line_no").alias("feed_line_no"), "item_pos",
+        "description", F.col("name").alias("source_name"), F.col("html_url").alias("source_url"), F.col("line_no").alias("feed_line_no"), "item_pos", *carry,
     )
 
 

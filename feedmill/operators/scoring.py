@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedmill.functions.text import or_else, strip
 from feedmill.schemas import CATEGORY_IDS, MODEL_RESPONSES
+from feedmill.sources.shared import written
 
 BATCH = 15
 DEFAULT_SCORE = 5
@@ -36,7 +37,7 @@ def assign_batches(df: DataFrame, order: list[str], size: int = BATCH, edition:
     offset of their partition, so neither all rows nor a large edition are in one task.
     """
     keys = [edition, *order] if edition else order
-    ids = df.orderBy(*keys).select("*", F.spark_partition_id().alias("_part"), (F.monotonically_increasing_id() % (1 << 33)).alias("_row")).persist()
+    ids = written(df.orderBy(*keys).select("*", F.spark_partition_id().alias("_part"), (F.monotonically_increasing_id() % (1 << 33)).alias("_row")))
     before, starts = 0, []
     for part, n in sorted(ids.groupBy("_part").count().collect()):  # a row for each partition
         starts.append((part, before))

@@ -20,8 +20,10 @@ from feedmill.operators import diversity as V
 from feedmill.operators import feeds as E
 from feedmill.operators import report as R
 from feedmill.operators import scoring as S
+from feedmill.plans.sync import sync
 from feedmill.schemas import CATEGORY_IDS
 from feedmill.sources import tables as T
+from feedmill.sources.shared import new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -133,9 +135,77 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_LINES} SELECT line_no, {sql_strip('raw')} AS line FROM lines WHERE {sql_strip('raw')} <> '' AND NOT starts_with({sql_strip('raw')}, '#')")
 def feed_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _lines(spark, sf_dir).select("line_no", F.concat(F.lit("  "), "raw", F.lit("\r\n# note\r\n")).alias("value"))
-    each = rows.select("line_no", F.explode(F.split("value", r"\r?\n")).alias("raw"))
-    return each.select("line_no", strip("raw").alias("line")).where("line <> '' and not startswith(line, '#')")
+    texts = _lines(spark, sf_dir).select(F.col("line_no").alias("list_no"), F.concat(F.lit("  "), "raw", F.lit("\r\n# note\r\n")).alias("value"))
+    return T.feed_lines(texts).select(F.col("list_no").alias("line_no"), "line")
+
+
+# --- files ---------------------------------------------------------------------------------------------
+
+
+@query(f"WITH {_LINES} SELECT {sql_strip('raw')} AS line FROM lines WHERE {sql_strip('raw')} <> '' AND NOT starts_with({sql_strip('raw')}, '#')")
+def feed_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark)
+    T.write_feed_list(_lines(spark, sf_dir).withColumnRenamed("raw", "url"), path)
+    return T.read_feed_list(spark, path).select("line")
+
+
+@query(rf"""SELECT 'Weekly "' || CAST(page_id AS VARCHAR) || '", no. 1' AS weekly_name, regexp_replace(url, '/+\z', '') AS weekly_url,
+'line one' || chr(10) || 'two, ' || CAST(page_id % 7 AS VARCHAR) AS blog_name, regexp_replace(url, '/+\z', '') || '/b' AS blog_url, CASE WHEN page_id % 2 = 1 THEN '' ELSE url END AS rss FROM pages""")
+def blog_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, path = F.col("page_id"), new_path(spark)
+    rows = _t(spark, sf_dir, "pages").select(
+        i.alias("row_no"), F.concat(F.lit(' Weekly "'), i.cast("string"), F.lit('", no. 1 ')).alias("weekly_name"), F.concat("url", F.lit("//")).alias("weekly_url"),
+        F.concat(F.lit("line one\ntwo, "), (i % 7).cast("string")).alias("blog_name"), F.concat(U.normalize_url("url"), F.lit("/b/")).alias("blog_url"), F.when(i % 2 == 1, "").otherwise(F.col("url")).alias("rss"),
+    )
+    T.write_blogs_csv(rows, path)
+    return T.read_blogs_csv(spark, path).drop("row_no")
+
+
+@query(r"SELECT CAST(page_id AS INTEGER) AS issue, CASE WHEN page_id % 5 = 0 THEN '' ELSE 'No. ' || chr(34) || CAST(page_id AS VARCHAR) || chr(34) END AS title, regexp_replace(url, '/+\z', '') AS url FROM pages")
+def issue_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, path = F.col("page_id"), new_path(spark)
+    title = F.when(i % 5 != 0, F.concat(F.lit('No. "'), i.cast("string"), F.lit('"')))
+    T.write_issues(_t(spark, sf_dir, "pages").select(i.cast("int").alias("issue"), title.alias("title"), F.concat("url", F.lit("/")).alias("url")), path)
+    return T.read_issues(spark, path)
+
+
+@query(r"SELECT CAST(1 + row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) - 1 AS INTEGER) AS issue, CASE WHEN page_id % 5 = 0 THEN '' ELSE 'No. ' || CAST(page_id AS VARCHAR) END AS title, regexp_replace(url, '/+\z', '') AS url FROM pages")
+def issue_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i, path = F.col("page_id"), new_path(spark)
+    item = F.struct(i, F.struct(F.when(i % 5 != 0, F.concat(F.lit("No. "), i.cast("string"))).alias("title"), F.concat("url", F.lit("/")).alias("url")).alias("x"))
+    lists = _t(spark, sf_dir, "pages").groupBy(F.floor(i / 100)).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    lists.select(F.to_json(F.transform("items", lambda x: x["x"])).alias("value")).repartition(1).write.option("lineSep", "\n").text(path)
+    return T.issues_from_json(spark.read.text(path))
+
+
+_LANDED = "landed AS (SELECT page_id, url, CASE page_id % 5 WHEN 0 THEN 404 WHEN 1 THEN 204 WHEN 2 THEN 301 ELSE 200 END AS http_status FROM pages)"
+
+
+@query(f"WITH {_LANDED} SELECT url, http_status, http_status = 200 AS exact FROM landed WHERE http_status BETWEEN 200 AND 299")
+def landed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, path = F.col("page_id") % 5, new_path(spark)
+    status = F.when(m == 0, 404).when(m == 1, 204).when(m == 2, 301).otherwise(200)
+    rows = _t(spark, sf_dir, "pages").select("url", status.alias("http_status"), F.lit("text/html").alias("content_type"), F.col("html").alias("body"), F.lit(AS_OF).cast("timestamp").alias("fetched_at"))
+    rows.write.parquet(path)
+    exact = T.read_responses(spark, path, exact=True).select("url", F.lit(True).alias("exact"))
+    return T.read_responses(spark, path).select("url", "http_status").join(exact, "url", "left").select("url", "http_status", F.coalesce("exact", F.lit(False)).alias("exact"))
+
+
+@query(f"WITH {_ARTICLES} SELECT edition, 'a' || CAST(rank AS VARCHAR) || '.md' AS file_name, md5(text) AS markdown, (SELECT count(*) FROM dig) AS written FROM dig")
+def clipping_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark)
+    rows = digests(spark, sf_dir).select("edition", F.concat(F.lit("a"), F.col("rank").cast("string"), F.lit(".md")).alias("file_name"), F.col("text").alias("markdown"))
+    n = T.write_clippings(rows, path)
+    return spark.read.parquet(path).select("edition", "file_name", F.md5("markdown").alias("markdown"), F.lit(n).cast("long").alias("written"))
+
+
+@query(f"WITH {_ARTICLES} SELECT edition, '# ' || edition || chr(10) || chr(10) || string_agg('* ' || title, chr(10) ORDER BY rank) AS report FROM dig GROUP BY edition")
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark)
+    lines = digests(spark, sf_dir).groupBy("edition").agg(F.array_sort(F.collect_list(F.struct("rank", "title"))).alias("t"))
+    text = F.concat(F.lit("# "), "edition", F.lit("\n\n"), F.array_join(F.transform("t", lambda x: F.concat(F.lit("* "), x["title"])), "\n"))
+    T.write_report(lines.select("edition", text.alias("report")), path)
+    return spark.read.text(path, wholetext=True).select("edition", F.regexp_replace("value", "\n\\z", "").alias("report"))
 
 
 _KEY = r"lower(regexp_replace(regexp_replace(trim({0}), '(?i)^https?://', ''), '/+\z', ''))"
@@ -250,6 +320,19 @@ def parsed_atom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _parsed(spark, sf_dir, True)
 
 
+@query(rf"""WITH {_ARTICLES} SELECT doc_id, {sql_strip('title')} AS title, link, strftime(pub_date, '%Y-%m-%d %H:%M:%S') AS published, md5(substr({sql_strip("'Seen: ' || text")}, 1, 500)) AS description, doc_id % 2 = 0 AS cdata FROM art""")
+def cdata_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items with CDATA sections, link or guid, content:encoded beside an empty description, and dc:date: one response for each document."""
+    cd = lambda c: F.concat(F.lit("<![CDATA["), c, F.lit("]]>"))
+    link = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("<link>"), cd(F.col("link")), F.lit("</link><guid>g</guid>"))).otherwise(F.concat(F.lit("<link></link><guid>"), "link", F.lit("</guid>")))
+    date = F.date_format("pub_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    when = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("<dc:date>"), date, F.lit("</dc:date>"))).otherwise(F.concat(F.lit("<pubDate>"), cd(date), F.lit("</pubDate>")))
+    item = F.concat(F.lit("<rss><item><title>"), cd(F.col("title")), F.lit("</title>"), link, when, F.lit("<description></description><content:encoded>"), cd(F.concat(F.lit("<p>Seen: "), "text", F.lit("</p>"))), F.lit("</content:encoded></item></rss>"))
+    rows = E.explode_items(articles(spark, sf_dir).select("doc_id", item.alias("body")))
+    held = M.cdata(F.when(F.col("doc_id") % 2 == 0, cd(F.lit("x"))).otherwise("x<![CDATA[")) == "x"
+    return rows.select("doc_id", "title", "link", F.date_format(M.parse_feed_date("date_text"), "yyyy-MM-dd HH:mm:ss").alias("published"), F.md5("description").alias("description"), held.alias("cdata"))
+
+
 _DECODED = "regexp_replace(html, '<[^>]*>', '', 'g')"
 for _e, _c in M.ENTITIES:
     _DECODED = f"replace({_DECODED}, '{_e}', '{_c.replace(chr(39), chr(39) * 2)}')"
@@ -653,7 +736,31 @@ def score_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.score_range(digests(spark, sf_dir))
 
 
-@query()
+_NL = "chr(10) || chr(10)"
+_AGE_MS = f"(epoch_ms(TIMESTAMP '{AS_OF}') - epoch_ms(pub_date))"
+_AGE = f"""CASE WHEN floor({_AGE_MS} / 60000) < 60 THEN CAST(CAST(floor({_AGE_MS} / 60000) AS BIGINT) AS VARCHAR) || ' 分钟前' WHEN floor({_AGE_MS} / 3600000) < 24 THEN CAST(CAST(floor({_AGE_MS} / 3600000) AS BIGINT) AS VARCHAR) || ' 小时前'
+WHEN floor({_AGE_MS} / 86400000) < 7 THEN CAST(CAST(floor({_AGE_MS} / 86400000) AS BIGINT) AS VARCHAR) || ' 天前' ELSE strftime(pub_date, '%Y-%m-%d') END"""
+
+
+@query(f"""WITH {_ARTICLES}, {_CATS_BY}, {_KW10}, nums AS (SELECT source_name AS edition, CAST(count(*) AS VARCHAR) AS articles FROM art GROUP BY source_name),
+lab AS (SELECT d.*, emoji, label, {_AGE} AS age, '> ' || substr(description, 1, 200) || {_NL} AS quote, '🏷️ ' || array_to_string(keywords, ', ') || {_NL} AS labels FROM dig d LEFT JOIN {_CATROWS} ON d.category = v.category),
+best AS (SELECT edition, string_agg(CASE rank WHEN 1 THEN '🥇' WHEN 2 THEN '🥈' WHEN 3 THEN '🥉' ELSE CAST(rank AS VARCHAR) || '.' END || ' **' || title || '**' || {_NL} || '[' || title || '](' || link || ') — ' || source_name || ' · ' || age || ' · ' || emoji || ' ' || label || {_NL} || quote || labels, '' ORDER BY rank) AS best FROM lab WHERE rank <= 10 GROUP BY edition),
+pie AS (SELECT edition, string_agg('    "' || emoji || ' ' || label || '" : ' || CAST(n AS VARCHAR) || chr(10), '' ORDER BY place) AS pie FROM cp LEFT JOIN {_CATROWS} ON cp.category = v.category GROUP BY edition),
+kw AS (SELECT edition, string_agg('"' || keyword || '"', ', ' ORDER BY place) AS axis, string_agg(CAST(n AS VARCHAR), ', ' ORDER BY place) AS vals, CAST(max(n) + 2 AS VARCHAR) AS most, string_agg(CASE WHEN place <= 3 THEN '**' || keyword || '**' ELSE keyword END || '(' || CAST(n AS VARCHAR) || ')', ' · ' ORDER BY place) AS tags FROM o WHERE place <= 12 GROUP BY edition),
+wid AS (SELECT *, max(n) OVER (PARTITION BY edition) AS most, max(length(keyword)) OVER (PARTITION BY edition) AS wide FROM o WHERE place <= 10),
+bar AS (SELECT *, CAST(greatest(1, floor(n / most * 20 + 0.5)) AS INTEGER) AS w FROM wid),
+bars AS (SELECT edition, string_agg(rpad(keyword, CAST(wide AS INTEGER), ' ') || ' │ ' || repeat('█', w) || repeat('░', 20 - w) || ' ' || CAST(n AS VARCHAR) || chr(10), '' ORDER BY place) AS bars FROM bar GROUP BY edition),
+sec AS (SELECT lab.*, row_number() OVER (PARTITION BY lab.edition ORDER BY place, rank) AS number, row_number() OVER (PARTITION BY lab.edition, lab.category ORDER BY rank) = 1 AS head FROM lab JOIN cp ON lab.edition = cp.edition AND lab.category = cp.category),
+body AS (SELECT edition, count(*) AS picked, string_agg(CASE WHEN head THEN '## ' || emoji || ' ' || label || {_NL} ELSE '' END || '### ' || CAST(number AS VARCHAR) || '. ' || title || {_NL} || '[' || title || '](' || link || ') — **' || source_name || '** · ' || age || ' · ⭐ ' || CAST(relevance + quality + timeliness AS VARCHAR) || '/30' || {_NL} || quote || labels || '---' || {_NL}, '' ORDER BY number) AS body FROM sec GROUP BY edition),
+top AS (SELECT edition, '# 📰 AI 博客每日精选 — 2024-01-30' || {_NL} || '> 来自 1 个技术博客，AI 精选 Top ' || CAST(picked AS VARCHAR) || {_NL} || '## 📝 今日行动指南' || {_NL} || 'Read on.' || {_NL} || '---' || {_NL} || '## 🏆 今日必读' || {_NL} || best || '---' || {_NL} AS head FROM body JOIN best USING (edition)),
+rep AS (SELECT edition, head, head || '## 📊 数据概览' || {_NL} || '| 扫描源 | 抓取文章 | 时间范围 | 精选 |' || chr(10) || '|:---:|:---:|:---:|:---:|' || chr(10) || '| 1/1 | ' || articles || ' 篇 → ' || articles || ' 篇 | 48h | **' || CAST(picked AS VARCHAR) || ' 篇** |' || {_NL}
+  || '### 分类分布' || {_NL} || '```mermaid' || chr(10) || 'pie showData' || chr(10) || '    title "文章分类分布"' || chr(10) || pie || '```' || {_NL}
+  || '### 高频关键词' || {_NL} || '```mermaid' || chr(10) || 'xychart-beta horizontal' || chr(10) || '    title "高频关键词"' || chr(10) || '    x-axis [' || axis || ']' || chr(10) || '    y-axis "出现次数" 0 --> ' || kw.most || chr(10) || '    bar [' || vals || ']' || chr(10) || '```' || {_NL}
+  || '<details>' || chr(10) || '<summary>📈 纯文本关键词图（终端友好）</summary>' || {_NL} || '```' || chr(10) || bars || '```' || chr(10) || '</details>' || {_NL} || '### 🏷️ 话题标签' || {_NL} || tags || {_NL}
+  || '---' || {_NL} || body || '*生成于 2024-01-30 00:00 | 扫描 1 源 → 获取 ' || articles || ' 篇 → 精选 ' || CAST(picked AS VARCHAR) || ' 篇*' || chr(10) AS report
+  FROM nums JOIN body USING (edition) JOIN top USING (edition) JOIN pie USING (edition) JOIN kw USING (edition) JOIN bars USING (edition)),
+cut AS (SELECT edition, report, regexp_replace(head, '(?m)^\\|.*\n?', '', 'g') AS head FROM rep)
+SELECT edition, report, (SELECT max(substr(head, 1, CAST(k AS INTEGER))) FROM range(0, 3501) r(k) WHERE strlen(substr(head, 1, CAST(k AS INTEGER))) <= 3500) AS preview FROM cut""")
 def edition_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = digests(spark, sf_dir).withColumns({"title_zh": F.lit(""), "summary": F.substring("description", 1, 200), "reason": F.lit("")})
     counts = articles(spark, sf_dir).groupBy(F.col("source_name").alias("edition")).agg(F.count("*").alias("articles"))
@@ -747,7 +854,108 @@ def clipping_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("edition", "rank", F.md5(C.clipping_markdown()).alias("document"))
 
 
-@query()
+_CONTENT = "CASE page_id % 7 WHEN 0 THEN 'text/markdown; charset=utf-8' ELSE 'text/html' END"
+_ART = r"regexp_replace(regexp_extract(html, '(?is)<article[^>]*>.*</article>'), '\s+', ' ', 'g')"
+_ART = rf"regexp_replace(regexp_replace({_ART}, '>( [^<]*[^ <])<', '>\1 <', 'g'), '>([^ <][^<]* )<', '> \1<', 'g')"
+for _tag, _put in (("<article>", "chr(10) || chr(10)"), ("</article>", "chr(10) || chr(10)"), ("<h1>", "chr(10) || chr(10) || '# '"), ("</h1>", "chr(10) || chr(10)"), ("<p>", "chr(10) || chr(10)"), ("</p>", "chr(10) || chr(10)"), ("<b>", "'**'"), ("<br>", "chr(10)")):
+    _ART = f"replace({_ART}, '{_tag}', {_put})"
+_ART = rf"""regexp_replace(replace({_ART}, '&quot;', '"'), '&amp;?', '&', 'g')"""
+_ART = rf"trim(regexp_replace(regexp_replace(regexp_replace({_ART}, '[ \t]{{2,}}', ' ', 'g'), '[ \t]*\n[ \t]*', chr(10), 'g'), '\n{{3,}}', chr(10) || chr(10), 'g'), ' ' || chr(10))"
+
+
+@query(rf"""WITH {_RESP}, r AS (SELECT page_id, CASE page_id % 7 WHEN 1 THEN true ELSE page_id % 7 = 0 END AS own, http_status, {sql_strip("CASE WHEN page_id % 14 = 0 THEN 'short' ELSE body END")} AS body, html FROM resp JOIN pages USING (page_id)),
+a AS (SELECT page_id, http_status, CASE WHEN own THEN body ELSE {_ART} END AS text FROM r)
+SELECT page_id, CASE WHEN http_status BETWEEN 200 AND 299 AND length(text) > 100 THEN text END AS markdown FROM a""")
 def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = _responses(spark, sf_dir).select("page_id", "url", "http_status", F.lit("text/html").alias("content_type"), F.col("body"))
+    i = F.col("page_id")
+    pages = _responses(spark, sf_dir).select(
+        "page_id", F.when(i % 7 == 1, F.concat("url", F.lit(".md"))).otherwise(F.col("url")).alias("url"), "http_status", F.when(i % 7 == 0, "text/markdown; charset=utf-8").otherwise("text/html").alias("content_type"),
+        F.when(i % 14 == 0, " short ").otherwise(F.col("body")).alias("body"),
+    )
     return pages.select("page_id", C.response_markdown().alias("markdown"))
+
+
+@query("SELECT doc_id, CASE WHEN length(text) > 500 THEN md5(text) END AS kept, CASE WHEN length(trim(substr(text, 1, CAST(doc_id % 200 AS INTEGER)), ' ' || chr(10))) > 100 THEN true ELSE false END AS page FROM documents")
+def length_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = strip(F.substring("text", F.lit(1), (F.col("doc_id") % 200).cast("int")))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(C.long_enough("text", 500)).alias("kept"), C.long_enough(start).isNotNull().alias("page"))
+
+
+# --- a sync run ---------------------------------------------------------------------------------------
+
+_NEW_BLOG = "replace(regexp_extract(url, '^[^:]+://[^/?#]*'), '.com', '.dev')"
+
+
+@query(f"WITH n AS (SELECT page_id AS row_no, {_NEW_BLOG} AS blog_url FROM pages) SELECT row_no, blog_url FROM n WHERE blog_url NOT IN (SELECT {_NEW_BLOG} FROM pages WHERE page_id % 3 = 0)")
+def probed_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blog = F.replace(F.regexp_extract("url", "^[^:]+://[^/?#]*", 0), F.lit(".com"), F.lit(".dev"))
+    new = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("row_no"), blog.alias("blog_url"))
+    return D.blogs_to_probe(new, new.where("row_no % 3 = 0"))
+
+
+@query(f"""WITH {_BLOGS}, n AS (SELECT page_id % 10 AS issue, page_id AS pos, {_NEW_BLOG} AS blog_url, '' AS rss FROM pages WHERE page_id % 3 = 1)
+SELECT row_no, blog_url, rss FROM blg UNION ALL SELECT (SELECT max(row_no) FROM blg) + 1 + issue * 4294967296 + pos, blog_url, rss FROM n""")
+def appended_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blogs = _blogs(spark, sf_dir).select("row_no", "blog_url", "rss")
+    blog = F.replace(F.regexp_extract("url", "^[^:]+://[^/?#]*", 0), F.lit(".com"), F.lit(".dev"))
+    new = _t(spark, sf_dir, "pages").where("page_id % 3 = 1").select((F.col("page_id") % 10).cast("int").alias("issue"), F.col("page_id").cast("int").alias("pos"), blog.alias("blog_url"), F.lit("").alias("rss"))
+    return D.append_blogs(blogs, new)
+
+
+@query(f"""WITH {_RESP}, {_BLOGS}, good AS (SELECT url FROM resp WHERE {_VALID})
+SELECT 'list' AS kind, page_id AS no, url FROM pages WHERE url IN (SELECT url FROM good)
+UNION ALL SELECT 'blog', row_no, CASE WHEN rss IN (SELECT url FROM good) THEN rss ELSE '' END FROM blg""")
+def pruned_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = _t(spark, sf_dir, "pages").select(F.col("page_id").alias("line_no"), "url")
+    valid, kept = D.prune_feed_list(listed, _blogs(spark, sf_dir), _responses(spark, sf_dir))
+    return valid.select(F.lit("list").alias("kind"), F.col("line_no").alias("no"), "url").union(kept.select(F.lit("blog"), "row_no", "rss"))
+
+
+_SYNC = rf"""{_RESP}, {_BLOGS},
+iss AS (SELECT page_id, '{U.SITE}/blog/weekly-issue-' || CAST(page_id AS VARCHAR) || '.html' AS issue_url, CAST(row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) AS INTEGER) AS issue FROM pages WHERE page_id % 5 = 0),
+good AS (SELECT url FROM resp WHERE {_VALID} UNION SELECT {_NEW_BLOG} || '{U.FEED_PATHS[1]}' FROM pages WHERE page_id % 20 <> 15),
+kept AS (SELECT row_no, blog_url, CASE WHEN rss IN (SELECT url FROM pages WHERE page_id % 3 = 0) AND rss NOT IN (SELECT url FROM good) THEN '' ELSE rss END AS rss FROM blg),
+links AS (SELECT i.issue, i.page_id, {_NEW_BLOG} AS blog_url FROM iss i JOIN pages p USING (page_id) WHERE page_id % 10 = 5 AND page_id % 30 <> 5),
+pers AS (SELECT *, {_OUT_DOMAIN} AS domain FROM links),
+fresh AS (SELECT blog_url, min((issue, 0, 'Issue' || CAST(page_id AS VARCHAR))) AS m FROM pers WHERE {put(_PERSONAL, 'domain')} AND blog_url NOT IN (SELECT blog_url FROM blg) GROUP BY blog_url),
+found AS (SELECT blog_url, CASE WHEN blog_url || '{U.FEED_PATHS[1]}' IN (SELECT url FROM good) THEN blog_url || '{U.FEED_PATHS[1]}' ELSE '' END AS rss FROM fresh),
+grown AS (SELECT blog_url, rss FROM kept UNION ALL SELECT blog_url, rss FROM found),
+pruned AS (SELECT url FROM pages WHERE page_id % 3 = 0 AND url IN (SELECT url FROM good)),
+cand AS (SELECT DISTINCT rss AS url FROM grown WHERE rss <> '' AND rss NOT IN (SELECT url FROM pruned)),
+final AS (SELECT blog_url, CASE WHEN rss IN (SELECT url FROM cand) AND rss NOT IN (SELECT url FROM good) THEN '' ELSE rss END AS rss FROM grown),
+merged AS (SELECT url FROM pruned UNION ALL SELECT url FROM cand WHERE url IN (SELECT url FROM good))"""
+
+
+def _synced(spark: SparkSession, sf_dir: str):
+    """A run over pages: every fifth page is an issue that a listing of 100 pages links, half of them known; an issue links a blog, whose feed is the second path tried."""
+    i, pages = F.col("page_id"), _t(spark, sf_dir, "pages")
+    mark = F.concat(F.lit("/blog/weekly-issue-"), i.cast("string"), F.lit(".html"))
+    a = F.concat(F.lit('<a href="'), mark, F.lit('">Issue '), i.cast("string"), F.lit("</a>"))
+    listing = pages.where("page_id % 5 = 0").groupBy(F.floor(i / 100).alias("k")).agg(F.array_sort(F.collect_list(F.struct("page_id", a.alias("a")))).alias("s"))
+    listing = listing.select(F.concat(F.lit("list"), F.col("k").cast("string")).alias("url"), F.array_join(F.transform("s", lambda x: x["a"]), "\n").alias("body"))
+    url = F.concat(F.lit(U.SITE), mark)
+    blog = F.replace(F.regexp_extract("url", "^[^:]+://[^/?#]*", 0), F.lit(".com"), F.lit(".dev"))
+    known = pages.where("page_id % 10 = 0").select(i.cast("int").alias("issue"), F.lit("t").alias("title"), url.alias("url"))
+    link = F.concat(F.lit("<p><a href='"), blog, F.lit("'>Issue <i> "), i.cast("string"), F.lit("</i></a></p>"))
+    issue_pages = pages.where("page_id % 5 = 0").select(url.alias("url"), F.when(i % 30 == 5, 404).otherwise(200).alias("http_status"), link.alias("body"))
+    listed = pages.where("page_id % 3 = 0").select(i.alias("line_no"), "url")
+    feed = F.lit('<?xml version="1.0"?><rss><channel>')
+    landed = _responses(spark, sf_dir).select("url", "http_status", "body").unionByName(pages.where("page_id % 20 <> 15").select(F.concat(blog, F.lit(U.FEED_PATHS[1])).alias("url"), F.lit(200).alias("http_status"), feed.alias("body")))
+    return sync(listing, issue_pages, known, _blogs(spark, sf_dir), listed, landed)
+
+
+@query(f"WITH {_SYNC} SELECT blog_url, rss FROM final")
+def synced_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _synced(spark, sf_dir).blogs.select("blog_url", "rss")
+
+
+@query(f"WITH {_SYNC} SELECT url FROM merged")
+def synced_feed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _synced(spark, sf_dir).feed_list.select("url")
+
+
+@query(f"""WITH {_SYNC} SELECT (SELECT count(*) FROM iss WHERE page_id % 10 = 0) AS known_issues, (SELECT count(*) FROM iss WHERE page_id % 10 = 5) AS new_issues,
+(SELECT count(*) FROM blg) AS blogs_before, (SELECT count(*) FROM blg WHERE rss <> '') AS with_rss_before, (SELECT count(*) FROM final) AS blogs, (SELECT count(*) FROM final WHERE rss <> '') AS with_rss,
+(SELECT count(*) FROM pages WHERE page_id % 3 = 0 AND url NOT IN (SELECT url FROM merged)) AS removed_feeds, (SELECT count(*) FROM merged) AS feeds, (SELECT count(*) FROM final) - (SELECT count(*) FROM blg) AS new_blogs""")
+def sync_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _synced(spark, sf_dir).stats

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill import schemas
@@ -15,9 +15,10 @@ BLOG_COLUMNS = ("weekly_name", "weekly_url", "blog_name", "blog_url", "rss")
 
 
 def feed_lines(texts: DataFrame) -> DataFrame:
-    """(line_no, line) from rows (value) of whole feed lists: stripped, without blanks and # comments."""
-    rows = texts.select(F.posexplode(F.split("value", r"\r?\n")).alias("n", "raw"))
-    return rows.select(F.col("n").cast("long").alias("line_no"), strip("raw").alias("line")).where("line <> '' and not startswith(line, '#')")
+    """The columns of texts but value, and line_no and line of whole feed lists (value): stripped, without blanks and # comments."""
+    kept = [c for c in texts.columns if c != "value"]
+    rows = texts.select(*kept, F.posexplode(F.split("value", r"\r?\n")).alias("n", "raw"))
+    return rows.select(*kept, F.col("n").cast("long").alias("line_no"), strip("raw").alias("line")).where("line <> '' and not startswith(line, '#')")
 
 
 def read_feed_list(spark: SparkSession, path: str) -> DataFrame:
@@ -75,9 +76,11 @@ def ok_responses(responses: DataFrame, exact: bool = False) -> DataFrame:
 
 
 def write_clippings(clippings: DataFrame, path: str) -> int:
-    """Parquet of (edition, file_name, markdown) by edition; returns how many it wrote."""
-    clippings.write.mode("overwrite").partitionBy("edition").parquet(path)
-    return clippings.sparkSession.read.parquet(path).count()
+    """Parquet of (edition, file_name, markdown) by edition, of the editions given alone; returns how many it wrote."""
+    written = Observation()
+    rows = clippings.observe(written, F.count("*").alias("n"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("edition").parquet(path)
+    return written.get["n"]
 
 
 def write_report(report: DataFrame, path: str) -> None:
