@@ -122,24 +122,21 @@ def recompress(words: np.ndarray, at: np.ndarray, names: Names = Names(), made:
 
 
 def _made_task(names: Names, levels: tuple[int, ...]):
-    """The symbols that some levels make: (level, name, a, b), each at least once in a task.
+    """The symbols that some levels make, each at least once in a task: name, and a hash of what it stands for with the level in its last bits.
 
     Words of up to seven bytes have names of their own by construction. What a longer word's name stands for is
-    given by a second hash and the word's length. Runs and pairs are told of where they are part of an anchor.
+    told by a second hash and the word's length. Runs and pairs are told of where they are part of an anchor.
     """
 
     def symbols(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        told = np.zeros((3, TOLD), dtype=U64)  # symbols that this task told of lately
-
-        def fresh(level: int, *symbol: np.ndarray) -> pa.RecordBatch:
-            slot = ((symbol[0] + U64(level)) & U64(TOLD - 1)).astype(np.int64)
-            new = np.zeros(len(slot), dtype=bool)
-            for old, x in zip(told, symbol, strict=True):
-                new |= old[slot] != x
-            slot, symbol = slot[new], [x[new] for x in symbol]
-            for old, x in zip(told, symbol, strict=True):
-                old[slot] = x
-            return pa.record_batch([pa.array(np.full(len(slot), level, dtype=np.int32)), *map(int64, symbol)], ["level", "name", "a", "b"])
+        told = np.zeros((2, TOLD), dtype=U64)  # symbols that this task told of lately
+
+        def fresh(level: int, name: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+            stands_for = (mix(mix(a) * U64(0xD6E8FEB86659FD93) + b) << U64(2)) | U64(level)
+            slot = (name & U64(TOLD - 1)).astype(np.int64)
+            new = (told[0, slot] != name) | (told[1, slot] != stands_for)
+            told[0, slot], told[1, slot] = name, stands_for
+            return pa.record_batch([int64(name[new]), int64(stands_for[new])], ["name", "stands_for"])
 
         for batch in batches:
             for _, _, data, off in pieces(batch.column(0)):
@@ -170,13 +167,13 @@ def agree_on_names(texts: DataFrame) -> Names:
     names = Names()
     for levels in ROUNDS:
         while True:
-            made = texts.select("text").mapInArrow(_made_task(names, levels), "level int, name long, a long, b long")
-            kinds = made.groupBy("level", "name").agg(F.min("a").alias("a1"), F.max("a").alias("a2"), F.min("b").alias("b1"), F.max("b").alias("b2"))
-            clashes = kinds.where("a1 <> a2 or b1 <> b2").select("level", "name").collect()
+            made = texts.select("text").mapInArrow(_made_task(names, levels), "name long, stands_for long")
+            kinds = made.groupBy("name").agg(F.min("stands_for").alias("one"), F.max("stands_for").alias("other"))
+            clashes = [(max(r.one & 3, r.other & 3), r.name) for r in kinds.where("one <> other").collect()]
             if not clashes:
                 break
-            lowest = min(r.level for r in clashes)  # the levels above it get new names with it
-            more = np.array([r.name for r in clashes if r.level == lowest], dtype=np.int64).view(U64)
+            lowest = min(level for level, _ in clashes)  # the levels above it get new names with it
+            more = np.array([name for level, name in clashes if level == lowest], dtype=np.int64).view(U64)
             names = Names(tuple(np.union1d(s, more) if k == lowest else s for k, s in enumerate(names.shared)))
     return names
 
