@@ -29,7 +29,7 @@ class _Anchors(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "a":
             given = dict(attrs)
-            row = {"pos": len(self.found), "href": given.get("href"), "text": ""}
+            row = {"pos": len(self.found), "href": given.get("href"), "text": []}
             self.open.append(row)
             if row["href"] is not None:
                 self.found.append(row)
@@ -44,14 +44,14 @@ class _Anchors(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         for row in self.open:
-            row["text"] += data.strip()
+            row["text"].append(data.strip())
 
 
 def _anchors(html: str | None) -> list[dict]:
     page = _Anchors()
     page.feed(html or "")
     page.close()
-    return page.found
+    return [{**row, "text": "".join(row["text"])} for row in page.found]
 
 
 def _anchor_series(pages: pd.Series) -> pd.Series:

@@ -367,13 +367,13 @@ _A = r"(?is)<a\s(?:[^>]*\s)?href\s*=\s*\"([^\"]*)\"[^>]*>(.*?)</a\s*>".replace(r
 
 
 @query(rf"""WITH a AS (SELECT page_id, regexp_extract_all(html, '{_A}', 1) AS h, regexp_extract_all(html, '{_A}', 2) AS t FROM pages)
-SELECT page_id, CAST(k - 1 AS INTEGER) AS pos, replace(h[k], '&amp;', '&') AS href, {sql_strip("regexp_replace(t[k], '<[^>]*>', '', 'g')")} AS text FROM a, range(1, 200) r(k) WHERE k <= len(h)""")
+SELECT page_id, CAST(k - 1 AS INTEGER) AS pos, replace(h[k], '&amp;', '&') AS href, {sql_strip("regexp_replace(t[k], '<[^>]*>', '', 'g')")} AS text FROM a, unnest(range(1, len(h) + 1)) r(k)""")
 def page_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.extract_anchors(_t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("body"))).select("page_id", "pos", "href", "text")
 
 
 @query(rf"""WITH a AS (SELECT page_id, regexp_extract_all(html, '{_A}', 1) AS h, regexp_extract_all(html, '{_A}', 2) AS t FROM pages)
-SELECT page_id, CAST(k - 1 AS INTEGER) AS pos, replace(h[k], '&amp;', '&') AS href, {sql_strip("regexp_replace(t[k], '<[^>]*>', '', 'g')")} AS text FROM a, range(1, 200) r(k) WHERE k <= len(h)""")
+SELECT page_id, CAST(k - 1 AS INTEGER) AS pos, replace(h[k], '&amp;', '&') AS href, {sql_strip("regexp_replace(t[k], '<[^>]*>', '', 'g')")} AS text FROM a, unnest(range(1, len(h) + 1)) r(k)""")
 def page_anchors_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.extract_anchors(_t(spark, sf_dir, "pages").select("page_id", F.col("html").alias("body")), tolerant=True).select("page_id", "pos", "href", "text")
 
@@ -796,7 +796,7 @@ def _markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "conversations").select(F.concat_ws("/", "conv_id", "turn", "role").alias("article_id"), md.alias("markdown"))
 
 
-_BLOCKROWS = rf"""{_MD}, l AS (SELECT conv_id || '/' || turn || '/' || role AS article_id, k, string_split(markdown, chr(10))[k] AS line FROM md, range(1, 400) r(k) WHERE k <= len(string_split(markdown, chr(10)))),
+_BLOCKROWS = rf"""{_MD}, l AS (SELECT conv_id || '/' || turn || '/' || role AS article_id, k, string_split(markdown, chr(10))[k] AS line FROM md, unnest(range(1, len(string_split(markdown, chr(10))) + 1)) r(k)),
 f AS (SELECT *, starts_with({sql_strip('line')}, '```') AS fence, sum(CASE WHEN starts_with({sql_strip('line')}, '```') THEN 1 ELSE 0 END) OVER (PARTITION BY article_id ORDER BY k) AS s FROM l),
 g AS (SELECT *, (fence AND s % 2 = 0) OR s % 2 = 1 AS code FROM f),
 h AS (SELECT *, CASE WHEN code THEN 'c' || CAST((s + 1) // 2 AS VARCHAR) ELSE 't' || CAST(sum(CASE WHEN code OR {sql_strip('line')} = '' THEN 1 ELSE 0 END) OVER (PARTITION BY article_id ORDER BY k) AS VARCHAR) END AS grp FROM g),
