@@ -629,6 +629,14 @@ def similar_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.similar_pairs(_stories(spark, sf_dir).withColumn("title", F.lit("")))
 
 
+@query(f"""WITH {_ARTICLES}, {_STORY}, two AS (SELECT * REPLACE ('t' || CAST(CAST(article_id AS BIGINT) % 2 AS VARCHAR) AS topic) FROM st),
+n AS (SELECT x.article_id, count(*) AS n FROM two x JOIN two y ON x.topic <> y.topic AND {_SAME_STORY.format("x", "y")} GROUP BY x.article_id)
+SELECT article_id, min(article_id) OVER (PARTITION BY topic, list_sort(kw), list_sort(tt)) AS story_id, coalesce(n, 0) AS n_similar FROM two LEFT JOIN n USING (article_id)""")
+def similar_stories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _stories(spark, sf_dir).withColumn("topic", F.concat(F.lit("t"), (F.col("article_id").cast("long") % 2).cast("string")))
+    return V.story_links(rows)
+
+
 def _walk_sql(edition: str) -> str:
     """The greedy walk and the backfill as a recursion over each edition's rows in order."""
     return f"""WITH RECURSIVE {_ARTICLES}, {_STORY}, ord AS (SELECT * REPLACE ({edition} AS edition), row_number() OVER (PARTITION BY {edition} ORDER BY total DESC, article_id) AS pos FROM st),
