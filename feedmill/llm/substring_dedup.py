@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.scratch import written
+from feedmill.llm.scratch import tables, written
 from feedmill.llm.textarrays import SPACES, U64, gram_hashes, gram_prefix, hash_ranges, int64, mix, pieces, ramp, word_bounds
 
 WINDOW = 50
@@ -286,7 +286,8 @@ def _kept_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """Runs of windows of 50 words that also start in a text with a smaller doc_id: (doc_id, mark, place), place being first window * 32 + windows - 1."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").where("doc_id is not null and text is not null")
-    names = agree_on_names(texts)
+    with tables(docs.sparkSession):
+        names = agree_on_names(texts)
     found = written(texts.mapInArrow(_anchor_task(names), "key long, block long, doc_id long, mark long, place long"))
     shared = written(
         found.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("b1"), F.max("block").alias("b2")).where("least < most").select("key", "least", F.expr("b1 = b2").alias("one_block"))
