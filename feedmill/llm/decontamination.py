@@ -18,16 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.scratch import written
+from feedmill.llm.scratch import outside, tables, written
 from feedmill.llm.textarrays import NOT_ALNUM, U64, int64, mix, pieces, word_hashes
 
 #: Words that a mask looks at. Items of LONG_WORDS words or more have masks of 4 of at most 8 words, shorter ones of 3 of at most 7.
 MASKS = (
     (0, 1, 2, 3), (0, 1, 2, 4), (0, 2, 3, 5), (0, 1, 4, 5), (0, 2, 4, 5),
-    (0, 1, 6, 7), (0, 3, 4, 7), (0, 2, 5, 7), (0, 3, 5, 7),
+    (0, 1, 6, 7), (0, 3, 4, 7), (0, 2, 5, 7), (0, 3, 5, 7), (0, 1, 5, 7), (0, 3, 6, 7), (0, 2, 6, 7),
 )
 SHORT_MASKS = ((0, 1, 2), (0, 1, 3), (0, 2, 3), (0, 1, 4), (0, 2, 4), (0, 3, 4), (0, 1, 5), (0, 2, 5), (0, 3, 5), (0, 4, 5), (0, 1, 6))
-LONG_WORDS = 20
+LONG_WORDS = 15
 #: Items with fewer words are found where all of their words stand in a row.
 LEAST_WORDS = 8
 #: Share of an item's words that a text must hold in order.
@@ -35,7 +35,7 @@ OVERLAP = 0.5
 #: A passage of an item also counts if so many more of its words are held in order than not.
 PASSAGE = 20
 #: Bits of the filter for each seed, and the size that it has at most, as a power of 2: 32 MB.
-BITS_A_SEED, MOST_FILTER_BITS = 16, 28
+BITS_A_SEED, MOST_FILTER_BITS = 128, 28
 
 
 def masks_of(n: int) -> tuple[tuple[int, ...], ...]:
@@ -231,8 +231,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, overlap: float = OVERLA
     than others. Words are runs of letters and digits in lower case. Where an item is found more than once in a
     text, the best place counts, then the first.
 
-    A text and an item must agree in the words of one mask. Items of 8 to 19 words do wherever half of their
-    words stand in place; of longer ones with half of their words replaced, 0.99 do. Items of fewer than 8
+    A text and an item must agree in the words of one mask. Items of 8 to 14 words do wherever half of their
+    words stand in place; of longer ones with half of their words replaced, 0.97 do. Items of fewer than 8
     words are found where all of their words stand in a row. Left out are null and empty texts, items without
     a word and rows with null ids. Equal rows are one text. A very long text is one step of a task (see
     textarrays). Other columns are ignored. Empty tables give an empty one. A passage that many items share is
@@ -266,5 +266,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OV
     Rows with null doc_id or text stay, empty texts too. Of rows with one doc_id all go if one text of them
     holds an item; equal rows go or stay together. An empty benchmark drops nothing.
     """
-    found = written(contamination(docs, benchmark, overlap).select("doc_id").distinct())
+    with tables(docs.sparkSession):
+        found = outside(contamination(docs, benchmark, overlap).select("doc_id").distinct())
     return docs.join(found, "doc_id", "left_anti").select(*docs.columns)

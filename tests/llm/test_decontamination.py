@@ -125,7 +125,7 @@ def test_the_filter_grows_with_the_seeds(spark):
     from pyspark.sql import functions as F
 
     few, many = (D._filter_of(spark.range(n).select(F.xxhash64("id").alias("seed"))) for n in (10, 20_000))
-    assert len(few) * 8 == 1 << 16 and len(many) * 8 == 1 << 19 and 0.08 < (many != 0).mean() < 0.9
+    assert len(few) * 8 == 1 << 16 and len(many) * 8 == 1 << 22 and 0.08 < (many != 0).mean() < 0.2
 
 
 def test_a_very_long_text(spark):
