@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmill.llm.scratch import written
+from feedmill.llm.scratch import outside, tables, written
 
 BUCKETS = 16
 BUDGET = 32_768
@@ -82,23 +82,24 @@ def pack(docs: DataFrame, n_tokens: Column | None = None, buckets: int = BUCKETS
     by a hash of the text; equal rows are alike. Columns of docs that are not carried are ignored. An empty
     table gives an empty one.
     """
-    sized = written(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(word_count(F.col("text")) if n_tokens is None else n_tokens.cast("long"), F.lit(0)).alias("n_tokens"),
-            F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("spread"), F.struct(F.lit(0), *carry).alias("carried"),
-        )
-    )
-    histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").toPandas()
-    bounds = bucket_bounds(histogram["n_tokens"].to_numpy(dtype=np.int64), histogram["count"].to_numpy(dtype=np.int64), buckets) or [0]
-    edges = F.array(*[F.lit(b) for b in bounds])
-    bucket = F.aggregate(edges, F.lit(0), lambda n, b: n + F.when(F.col("n_tokens") > b, 1).otherwise(0))
-    # in order over all tasks; spread deals out rows that are alike
-    order = ("n_tokens", "doc_id", "mark", "spread")
-    placed = written(sized.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "carried", bucket.alias("bucket"), F.monotonically_increasing_id().alias("at")))
     part = F.shiftrightunsigned("at", 33).alias("part")
-    sizes = placed.groupBy("bucket", part).agg(F.count("*").alias("n"), F.min("at").alias("first"))  # at most a row for each task and bucket
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = written(sizes.select("bucket", "part", (before - F.col("first")).alias("shift")))
+    with tables(docs.sparkSession):
+        sized = written(
+            docs.select(
+                F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(word_count(F.col("text")) if n_tokens is None else n_tokens.cast("long"), F.lit(0)).alias("n_tokens"),
+                F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("spread"), F.struct(F.lit(0), *carry).alias("carried"),
+            )
+        )
+        histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").toPandas()
+        bounds = bucket_bounds(histogram["n_tokens"].to_numpy(dtype=np.int64), histogram["count"].to_numpy(dtype=np.int64), buckets) or [0]
+        edges = F.array(*[F.lit(b) for b in bounds])
+        bucket = F.aggregate(edges, F.lit(0), lambda n, b: n + F.when(F.col("n_tokens") > b, 1).otherwise(0))
+        # in order over all tasks; spread deals out rows that are alike
+        order = ("n_tokens", "doc_id", "mark", "spread")
+        placed = outside(sized.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "n_tokens", "carried", bucket.alias("bucket"), F.monotonically_increasing_id().alias("at")))
+        sizes = placed.groupBy("bucket", part).agg(F.count("*").alias("n"), F.min("at").alias("first"))  # at most a row for each task and bucket
+        before = F.coalesce(F.sum("n").over(Window.partitionBy("bucket").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        starts = outside(sizes.select("bucket", "part", (before - F.col("first")).alias("shift")))
     rank = F.col("at") + F.col("shift")
     upper = F.element_at(edges, F.col("bucket") + 1).cast("long")
     fit = F.greatest(F.lit(1), F.floor(F.lit(budget) / F.greatest(upper, F.lit(1)))).cast("long")

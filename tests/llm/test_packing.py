@@ -58,7 +58,8 @@ def test_one_length_and_no_ids_are_spread_over_tasks(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     rows = out.collect()
     assert sorted((r.batch, r.slot) for r in rows) == [(k // 10, k % 10) for k in range(3000)] and {r.text for r in rows} == {"a b c"}
-    placed = spark.read.parquet(next(f for f in out.inputFiles()).rsplit("/", 1)[0])
+    tables = [spark.read.parquet(folder) for folder in {f.rsplit("/", 1)[0] for f in out.inputFiles()}]
+    placed = next(t for t in tables if "at" in t.columns)
     assert placed.selectExpr("shiftrightunsigned(at, 33) as task").distinct().count() > 1
 
 
