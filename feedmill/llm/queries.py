@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import chat_rotation, decontamination, fingerprints, jaccard_join, language_id, packing, quality, secret_scan, sharding, substring_dedup, toxicity
+from feedmill.llm import chat_rotation, conversation_repair, decontamination, fingerprints, jaccard_join, language_id, packing, quality, secret_scan, sharding, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,12 +58,17 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damage(turns), turns)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_substring_dedup, op2_language_id, op3_chat_rotation, op4_fingerprints, op5_decontamination,
-            op6_secret_scan, op7_jaccard_join, op8_toxicity, op9_quality, op10_packing, op12_sharding,
+            op6_secret_scan, op7_jaccard_join, op8_toxicity, op9_quality, op10_packing, op12_sharding, op13_conversation_repair,
         )
     }
 
@@ -76,4 +81,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_jaccard_join": jaccard_join.SQL,
         "op10_packing": packing.SQL,
         "op12_sharding": sharding.SQL,
+        "op13_conversation_repair": conversation_repair.SQL,
     }
