@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feedmill.llm import chat_rotation, conversation_repair, decontamination, fingerprints, jaccard_join, language_id, packing, quality, secret_scan, sharding, substring_dedup, toxicity
+from feedmill.llm import chat_rotation, collocations, conversation_repair, decontamination, fingerprints, jaccard_join, language_id, packing, quality, secret_scan, sharding, substring_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,6 +54,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -68,7 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         f.__name__: f
         for f in (
             op1_substring_dedup, op2_language_id, op3_chat_rotation, op4_fingerprints, op5_decontamination,
-            op6_secret_scan, op7_jaccard_join, op8_toxicity, op9_quality, op10_packing, op12_sharding, op13_conversation_repair,
+            op6_secret_scan, op7_jaccard_join, op8_toxicity, op9_quality, op10_packing, op11_collocations, op12_sharding, op13_conversation_repair,
         )
     }
 
@@ -80,6 +84,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_secret_scan": secret_scan.SQL,
         "op7_jaccard_join": jaccard_join.SQL,
         "op10_packing": packing.SQL,
+        "op11_collocations": collocations.SQL,
         "op12_sharding": sharding.SQL,
         "op13_conversation_repair": conversation_repair.SQL,
     }
