@@ -142,14 +142,42 @@ def feed_list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ---------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {_LINES} SELECT {sql_strip('raw')} AS line FROM lines WHERE {sql_strip('raw')} <> '' AND NOT starts_with({sql_strip('raw')}, '#')")
+_NUMBERED = f"WITH {_LINES}, nl AS (SELECT row_number() OVER (ORDER BY line_no) - 1 AS line_no, {sql_strip('raw')} AS line FROM lines) SELECT line_no, line FROM nl WHERE line <> '' AND NOT starts_with(line, '#')"
+
+
+@query(_NUMBERED)
 def feed_list_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark)
     T.write_feed_list(_lines(spark, sf_dir).withColumnRenamed("raw", "url"), path)
-    return T.read_feed_list(spark, path).select("line")
+    return T.read_feed_list(spark, path)
+
+
+def _parts(rows: DataFrame, order: str) -> DataFrame:
+    """rows dealt out in this order to eight parts or more, later ones longer."""
+    last = rows.agg(F.coalesce(F.max(order), F.lit(0))).first()[0]
+    n = max(8, last // 1000)
+    return rows.repartitionById(n, F.floor(F.sqrt(F.col(order) / (last + 1)) * n).cast("int")).sortWithinPartitions(order)
+
+
+@query(_NUMBERED)
+def feed_list_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed list from parts of unequal size."""
+    path = new_path(spark)
+    _parts(_lines(spark, sf_dir), "line_no").select("raw").write.text(path)
+    return T.read_feed_list(spark, path)
+
+
+@query(r"""SELECT row_number() OVER (ORDER BY page_id) - 1 AS row_no, 'w' || CAST(page_id AS VARCHAR) AS weekly_name, 'two' || chr(10) || 'lines, "' || CAST(page_id % 7 AS VARCHAR) || '"' AS blog_name, regexp_replace(url, '/+\z', '') AS blog_url FROM pages""")
+def blog_table_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blog table from parts of unequal size, each with its header."""
+    i, path = F.col("page_id"), new_path(spark)
+    name = F.concat(F.lit('two\nlines, "'), (i % 7).cast("string"), F.lit('"'))
+    rows = _t(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("w"), i.cast("string")).alias("weekly_name"), F.lit("").alias("weekly_url"), name.alias("blog_name"), F.col("url").alias("blog_url"), F.lit("").alias("rss"))
+    _parts(rows, "page_id").select(*[F.col(c).alias(h) for h, c in zip(T.BLOG_HEADERS, T.BLOG_COLUMNS, strict=True)]).write.csv(path, header=True, escape='"', emptyValue="")
+    return T.read_blogs_csv(spark, path).select("row_no", "weekly_name", "blog_name", "blog_url")
 
 
-@query(rf"""SELECT 'Weekly "' || CAST(page_id AS VARCHAR) || '", no. 1' AS weekly_name, regexp_replace(url, '/+\z', '') AS weekly_url,
+@query(rf"""SELECT row_number() OVER (ORDER BY page_id) - 1 AS row_no, 'Weekly "' || CAST(page_id AS VARCHAR) || '", no. 1' AS weekly_name, regexp_replace(url, '/+\z', '') AS weekly_url,
 'line one' || chr(10) || 'two, ' || CAST(page_id % 7 AS VARCHAR) AS blog_name, regexp_replace(url, '/+\z', '') || '/b' AS blog_url, CASE WHEN page_id % 2 = 1 THEN '' ELSE url END AS rss FROM pages""")
 def blog_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, path = F.col("page_id"), new_path(spark)
@@ -158,7 +186,7 @@ def blog_table_file(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("line one\ntwo, "), (i % 7).cast("string")).alias("blog_name"), F.concat(U.normalize_url("url"), F.lit("/b/")).alias("blog_url"), F.when(i % 2 == 1, "").otherwise(F.col("url")).alias("rss"),
     )
     T.write_blogs_csv(rows, path)
-    return T.read_blogs_csv(spark, path).drop("row_no")
+    return T.read_blogs_csv(spark, path)
 
 
 @query(r"SELECT CAST(page_id AS INTEGER) AS issue, CASE WHEN page_id % 5 = 0 THEN '' ELSE 'No. ' || chr(34) || CAST(page_id AS VARCHAR) || chr(34) END AS title, regexp_replace(url, '/+\z', '') AS url FROM pages")
@@ -174,7 +202,7 @@ def issue_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, path = F.col("page_id"), new_path(spark)
     item = F.struct(i, F.struct(F.when(i % 5 != 0, F.concat(F.lit("No. "), i.cast("string"))).alias("title"), F.concat("url", F.lit("/")).alias("url")).alias("x"))
     lists = _t(spark, sf_dir, "pages").groupBy(F.floor(i / 100)).agg(F.array_sort(F.collect_list(item)).alias("items"))
-    lists.select(F.to_json(F.transform("items", lambda x: x["x"])).alias("value")).repartition(1).write.option("lineSep", "\n").text(path)
+    lists.select(F.to_json(F.transform("items", lambda x: x["x"])).alias("value")).write.text(path)
     return T.issues_from_json(spark.read.text(path))
 
 
@@ -417,14 +445,14 @@ def digest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.digest_stats(feeds, events, _as_of(), 48)
 
 
-_LISTING = """lst AS (SELECT page_id % 5 AS k, page_id, CASE page_id % 3 WHEN 0 THEN '/blog/weekly-issue-' || CAST(page_id // 30 AS VARCHAR) || '.html' WHEN 1 THEN '/blog/weely-issue-' || CAST(page_id AS VARCHAR) || '/' ELSE '/about' END AS href FROM pages)"""
+_LISTING = """lst AS (SELECT page_id // 100 AS k, page_id, CASE page_id % 3 WHEN 0 THEN '/blog/weekly-issue-' || CAST(page_id // 30 AS VARCHAR) || '.html' WHEN 1 THEN '/blog/weely-issue-' || CAST(page_id AS VARCHAR) || '/' ELSE '/about' END AS href FROM pages)"""
 
 
 def _listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("page_id")
     href = F.when(i % 3 == 0, F.concat(F.lit("/blog/weekly-issue-"), F.floor(i / 30).cast("string"), F.lit(".html"))).when(i % 3 == 1, F.concat(F.lit("/blog/weely-issue-"), i.cast("string"), F.lit("/"))).otherwise("/about")
     a = F.concat(F.lit('<li><a class="x" href="'), href, F.lit('"> Issue <b>'), i.cast("string"), F.lit("</b></a></li>"))
-    rows = _t(spark, sf_dir, "pages").select((i % 5).alias("k"), F.struct("page_id", a.alias("a")).alias("s")).groupBy("k").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    rows = _t(spark, sf_dir, "pages").select(F.floor(i / 100).alias("k"), F.struct("page_id", a.alias("a")).alias("s")).groupBy("k").agg(F.array_sort(F.collect_list("s")).alias("s"))
     return rows.select(F.concat(F.lit("list"), F.col("k").cast("string")).alias("url"), F.array_join(F.transform("s", lambda x: x["a"]), "\n").alias("body"))
 
 
@@ -459,14 +487,14 @@ def known_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OUT_DOMAIN = "lower(regexp_extract(blog_url, '^[^:/?#]+://([^/?#]*)', 1))"
 
 
-@query(rf"""WITH o AS (SELECT page_id % 10 AS issue, page_id, regexp_replace(replace(url, '.com/', '.dev/'), '/+\z', '') AS blog_url FROM pages),
+@query(rf"""WITH o AS (SELECT page_id // 100 AS issue, page_id, regexp_replace(replace(url, '.com/', '.dev/'), '/+\z', '') AS blog_url FROM pages),
 x AS (SELECT *, {_OUT_DOMAIN} AS domain FROM o), p AS (SELECT * FROM x WHERE {put(_PERSONAL, 'domain')}),
 f AS (SELECT blog_url, min((issue, page_id)) AS m FROM p GROUP BY blog_url)
 SELECT CAST(m[1] AS INTEGER) AS issue, CASE WHEN m[2] % 4 = 0 THEN {_OUT_DOMAIN} ELSE 'Blog' || CAST(m[2] AS VARCHAR) END AS blog_name, blog_url FROM f WHERE blog_url NOT IN (SELECT CASE WHEN page_id % 6 = 0 THEN regexp_replace(url, '/+\z', '') ELSE url || '/known' END FROM pages)""")
 def extracted_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("page_id")
     a = F.concat(F.lit("<p><a rel=x href='"), F.replace("url", F.lit(".com/"), F.lit(".dev/")), F.lit("'>"), F.when(i % 4 == 0, "").otherwise(F.concat(F.lit("Blog <i> "), i.cast("string"), F.lit("</i>"))), F.lit("</a></p>"))
-    rows = _t(spark, sf_dir, "pages").select((i % 10).cast("int").alias("issue"), F.struct("page_id", a.alias("a")).alias("s")).groupBy("issue").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    rows = _t(spark, sf_dir, "pages").select(F.floor(i / 100).cast("int").alias("issue"), F.struct("page_id", a.alias("a")).alias("s")).groupBy("issue").agg(F.array_sort(F.collect_list("s")).alias("s"))
     pages = rows.select("issue", F.lit("t").alias("title"), F.lit("u").alias("url"), F.array_join(F.transform("s", lambda x: x["a"]), "\n").alias("body"))
     known = _t(spark, sf_dir, "pages").select(U.normalize_url(F.concat("url", F.when(i % 6 == 0, "").otherwise("/known"))).alias("blog_url"))
     return D.extract_blogs(pages, known).select("issue", "blog_name", "blog_url")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from feedmill import schemas
 from feedmill.functions.text import filled, strip
 from feedmill.functions.urls import normalize_url
+from feedmill.sources.ordered import ordered
 
 #: Headers of the blog table, in the order of the columns.
 BLOG_HEADERS = ("周刊名称", "周刊链接", "博客名称", "博客链接", "RSS订阅地址")
@@ -22,8 +23,9 @@ def feed_lines(texts: DataFrame) -> DataFrame:
 
 
 def read_feed_list(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of one feed list with their numbers from 0 on; CRLF is fine."""
-    return feed_lines(spark.read.text(path, wholetext=True))
+    """Lines of a feed list, one file or the parts of a table, with their numbers from 0 on in file order; CRLF is fine."""
+    lines = ordered(spark.read.option("lineSep", "\n").text(path), "line_no")
+    return lines.select("line_no", strip("value").alias("line")).where("line <> '' and not startswith(line, '#')").orderBy("line_no")
 
 
 def write_feed_list(urls: DataFrame, path: str) -> None:
@@ -32,10 +34,10 @@ def write_feed_list(urls: DataFrame, path: str) -> None:
 
 
 def read_blogs_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The blog table with row numbers: stripped, URLs normalized, missing values empty. A byte order mark is fine."""
+    """The blog table with row numbers from 0 on in file order: stripped, URLs normalized, missing values empty. A byte order mark is fine."""
     schema = ", ".join(f"`{h}` string" for h in BLOG_HEADERS)
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"', schema=schema, enforceSchema=False)
-    rows = raw.withColumn("row_no", F.monotonically_increasing_id())
+    rows = ordered(raw, "row_no")
     clean = {"weekly_url": normalize_url, "blog_url": normalize_url}
     return rows.select("row_no", *[clean.get(c, lambda v: strip(filled(v)))(F.col(f"`{h}`")).alias(c) for h, c in zip(BLOG_HEADERS, BLOG_COLUMNS, strict=True)])
 
