@@ -641,20 +641,33 @@ def _stories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).select("article_id", "topic", "title", "total_score", "link", "source_name", F.slice(F.array_sort(V.title_tokens("title")), 1, 4).alias("keywords"))
 
 
-@query(rf"""WITH {_ARTICLES}, st AS (SELECT article_id, topic, {put(_TOKENS, 'title')} AS tt FROM sco),
-t AS (SELECT article_id, topic, tt, unnest(tt) AS token FROM st),
-m AS (SELECT x.article_id AS a, y.article_id AS b, count(*) AS n, any_value(len(x.tt)) AS la, any_value(len(y.tt)) AS lb FROM t x JOIN t y ON x.token = y.token AND x.article_id < y.article_id AND x.topic <> y.topic GROUP BY x.article_id, y.article_id)
-SELECT a, b FROM m WHERE n / least(la, lb) >= 0.5""")
+def _links_sql(sets: str, pair: str) -> str:
+    """Stories of rows st (article_id, topic, kw, tt) and how many articles each is similar to."""
+    return f"""WITH {_ARTICLES}, {sets}, t AS (SELECT article_id, topic, kw, tt, unnest(list_distinct(list_concat(kw, tt))) AS token FROM st),
+m AS (SELECT DISTINCT x.article_id AS a, y.article_id AS b FROM t x JOIN t y ON x.token = y.token AND x.topic <> y.topic WHERE {pair}),
+n AS (SELECT a AS article_id, count(*) AS n FROM m GROUP BY a)
+SELECT article_id, min(article_id) OVER (PARTITION BY topic, list_sort(kw), list_sort(tt)) AS story_id, coalesce(n, 0) AS n_similar FROM st LEFT JOIN n USING (article_id)"""
+
+
+@query(_links_sql(f"st AS (SELECT article_id, topic, CAST([] AS VARCHAR[]) AS kw, {put(_TOKENS, 'title')} AS tt FROM sco)", "len(list_intersect(x.tt, y.tt)) / least(len(x.tt), len(y.tt)) >= 0.5"))
 def similar_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.similar_pairs(_stories(spark, sf_dir).withColumn("keywords", F.array().cast("array<string>")))
+    return V.story_links(_stories(spark, sf_dir).withColumn("keywords", F.array().cast("array<string>")))
 
 
-@query(rf"""WITH {_ARTICLES}, st AS (SELECT article_id, topic, list_sort({put(_TOKENS, 'title')}) AS tt FROM sco),
-s4 AS (SELECT article_id, topic, tt[1:4] AS kw FROM st), t AS (SELECT article_id, topic, kw, unnest(kw) AS token FROM s4),
-m AS (SELECT x.article_id AS a, y.article_id AS b, count(*) AS n, any_value(len(x.kw)) AS la, any_value(len(y.kw)) AS lb FROM t x JOIN t y ON x.token = y.token AND x.article_id < y.article_id AND x.topic <> y.topic GROUP BY x.article_id, y.article_id)
-SELECT a, b FROM m WHERE n / (la + lb - n) >= 0.45""")
+@query(_links_sql(f"st AS (SELECT article_id, topic, list_sort({put(_TOKENS, 'title')})[1:4] AS kw, CAST([] AS VARCHAR[]) AS tt FROM sco)", "len(list_intersect(x.kw, y.kw)) / (len(x.kw) + len(y.kw) - len(list_intersect(x.kw, y.kw))) >= 0.45"))
 def similar_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.similar_pairs(_stories(spark, sf_dir).withColumn("title", F.lit("")))
+    return V.story_links(_stories(spark, sf_dir).withColumn("title", F.lit("")))
+
+
+_HOT_TITLE = "CASE WHEN doc_id % 2 = 0 THEN 'Breaking ' ELSE '' END || array_to_string(string_split(title, ' ')[1:1 + CAST(doc_id % 6 AS INTEGER)], ' ')"
+
+
+@query(_links_sql(f"h AS (SELECT article_id, topic, {_HOT_TITLE} AS title FROM sco), st AS (SELECT article_id, topic, CAST([] AS VARCHAR[]) AS kw, {put(_TOKENS, 'title')} AS tt FROM h)", "len(list_intersect(x.tt, y.tt)) / least(len(x.tt), len(y.tt)) >= 0.5"))
+def similar_hot_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Short titles, half of which share a word."""
+    first = F.array_join(F.slice(F.split("title", " "), F.lit(1), (F.col("article_id").cast("long") % 6).cast("int") + 1), " ")
+    title = F.concat(F.when(F.col("article_id").cast("long") % 2 == 0, "Breaking ").otherwise(""), first)
+    return V.story_links(_stories(spark, sf_dir).withColumn("title", title).withColumn("keywords", F.array().cast("array<string>")))
 
 
 @query(f"""WITH {_ARTICLES}, {_STORY}, two AS (SELECT * REPLACE ('t' || CAST(CAST(article_id AS BIGINT) % 2 AS VARCHAR) AS topic) FROM st),
@@ -702,13 +715,13 @@ def backfilled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {_ARTICLES}, {_STORY}, n AS (SELECT *, CAST(article_id AS BIGINT) AS i FROM st)
 SELECT a.article_id AS a, b.article_id AS b, round(CASE WHEN len(a.kw) = 0 OR len(b.kw) = 0 THEN 0 ELSE len(list_intersect(a.kw, b.kw)) / (len(a.kw) + len(b.kw) - len(list_intersect(a.kw, b.kw))) END, 6) AS jaccard,
-a.topic <> b.topic AND {_SAME_STORY.format("a", "b")} AS same FROM n a JOIN n b ON b.i = a.i + 20""")
+round(CASE WHEN len(a.tt) = 0 OR len(b.tt) = 0 THEN 0 ELSE len(list_intersect(a.tt, b.tt)) / least(len(a.tt), len(b.tt)) END, 6) AS overlap, a.topic <> b.topic AND {_SAME_STORY.format("a", "b")} AS same FROM n a JOIN n b ON b.i = a.i + 20""")
 def neighbours_compared(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _stories(spark, sf_dir).withColumn("i", F.col("article_id").cast("long"))
     a, b = rows.alias("a"), rows.withColumn("i", F.col("i") - 20).alias("b")
     pair = [F.col(f"{x}.{c}") for x in "ab" for c in ("topic", "keywords", "title")]
     met = a.join(b, F.col("a.i") == F.col("b.i"))
-    return met.select(F.col("a.article_id").alias("a"), F.col("b.article_id").alias("b"), F.round(V.keyword_jaccard(pair[1], pair[4]), 6).alias("jaccard"), V.is_duplicate_pair(*pair).alias("same"))
+    return met.select(F.col("a.article_id").alias("a"), F.col("b.article_id").alias("b"), F.round(V.keyword_jaccard(pair[1], pair[4]), 6).alias("jaccard"), F.round(V.title_overlap(pair[2], pair[5]), 6).alias("overlap"), V.is_duplicate_pair(*pair).alias("same"))
 
 
 # --- report ---------------------------------------------------------------------------------------------
