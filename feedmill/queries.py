@@ -924,6 +924,20 @@ def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", C.response_markdown().alias("markdown"))
 
 
+_PLAIN = "length(regexp_replace(regexp_replace(replace(regexp_replace({0}, '(?s)<[^>]*>', '', 'g'), '&quot;', '_'), '&amp;?', '&', 'g'), '\\s', '', 'g'))"
+_AD, _STORY_HTML = "regexp_extract(html, '(?is)<div class=\"ad\">(.*?)</div>', 1)", "regexp_extract(html, '(?is)<article[^>]*>(.*)</article>', 1)"
+
+
+@query(rf"""WITH t AS (SELECT page_id, html, {put(_PLAIN, _AD)} AS ad, {put(_PLAIN, _STORY_HTML)} AS story, length(trim({_AD})) AS ad_chars, {_ART} AS text FROM pages), u AS (SELECT *, story > ad AS won FROM t)
+SELECT page_id, CASE WHEN won THEN 'section' ELSE 'div' END AS tag, CASE WHEN won THEN 5 ELSE 2 END AS place, CAST(greatest(ad, story) AS BIGINT) AS chars, CAST(0 AS BIGINT) AS links, CAST(greatest(ad, story) AS DOUBLE) AS score, CASE WHEN won THEN md5(text) ELSE md5(trim({_AD})) END AS markdown FROM u""")
+def page_main_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages without <article> and <main>: the story stands in a section beside a list of links, inside a div."""
+    side = '<div class="wrap"><div class="side">' + '<a href="/more">Read more of this</a> ' * 40 + '</div><section class="story">'
+    html = F.replace(F.replace("html", F.lit("<article>"), F.lit(side)), F.lit("</article>"), F.lit("</section></div>"))
+    rows = _t(spark, sf_dir, "pages").select("page_id", C.main_content(html).alias("m")).select("page_id", "m.*")
+    return rows.select("page_id", "tag", "place", "chars", "links", "score", F.md5("markdown").alias("markdown"))
+
+
 @query("SELECT doc_id, CASE WHEN length(text) > 500 THEN md5(text) END AS kept, CASE WHEN length(trim(substr(text, 1, CAST(doc_id % 200 AS INTEGER)), ' ' || chr(10))) > 100 THEN true ELSE false END AS page FROM documents")
 def length_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = strip(F.substring("text", F.lit(1), (F.col("doc_id") % 200).cast("int")))
