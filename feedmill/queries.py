@@ -24,6 +24,7 @@ from feedmill.plans.sync import sync
 from feedmill.schemas import CATEGORY_IDS
 from feedmill.sources import tables as T
 from feedmill.sources.shared import new_path
+from feedmill.sources.state import State, latest, read_state, write_state
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -236,6 +237,26 @@ def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select("edition", F.regexp_replace("value", "\n\\z", "").alias("report"))
 
 
+@query(r"""WITH p AS (SELECT *, row_number() OVER (ORDER BY page_id) - 1 AS k, count(*) OVER () AS n, regexp_extract(url, '^[^:]+://[^/?#]*') AS site FROM pages)
+SELECT 'blog' AS kind, k AS no, site AS url, CASE WHEN page_id % 2 = 1 OR page_id % 3 = 0 THEN '' ELSE url END AS rss FROM p UNION ALL SELECT 'blog', n + k, replace(site, '.com', '.dev') || '/' || CAST(page_id AS VARCHAR), '' FROM p
+UNION ALL SELECT 'feed', row_number() OVER (ORDER BY page_id) - 1, url, '' FROM pages WHERE page_id % 3 <> 0 UNION ALL SELECT 'issue', page_id, 'https://s/' || CAST(page_id AS VARCHAR), '' FROM pages""")
+def state_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A state that a run reads, changes and writes again under its own path: feeds are purged, blogs appended, then all is read back."""
+    i, path, pages = F.col("page_id"), new_path(spark), _t(spark, sf_dir, "pages")
+    issues = pages.select(i.cast("int").alias("issue"), F.lit("t").alias("title"), F.concat(F.lit("https://s/"), i.cast("string")).alias("url"))
+    version = write_state(spark, path, None, State(_blogs(spark, sf_dir), issues, pages.select(i.alias("line_no"), "url"), {}))
+    held = read_state(spark, version)
+    bad = pages.where("page_id % 3 = 0").select("url")
+    site = F.replace(F.regexp_extract("url", "^[^:]+://[^/?#]*", 0), F.lit(".com"), F.lit(".dev"))
+    new = pages.select(F.floor(i / 100).cast("int").alias("issue"), i.cast("int").alias("pos"), *[F.lit("n").alias(c) for c in ("weekly_name", "weekly_url", "blog_name")], F.concat(site, F.lit("/"), i.cast("string")).alias("blog_url"), F.lit("").alias("rss"))
+    blogs = D.append_blogs(D.purge_invalid_rss(held.blogs, bad).drop("purged"), new)
+    write_state(spark, path, version, State(blogs, held.issues, held.feed_list.join(bad, "url", "left_anti"), {}))
+    state = read_state(spark, latest(spark, path))
+    rows = state.blogs.select(F.lit("blog").alias("kind"), F.col("row_no").alias("no"), F.col("blog_url").alias("url"), "rss")
+    rows = rows.unionByName(state.feed_list.select(F.lit("feed").alias("kind"), F.col("line_no").alias("no"), "url", F.lit("").alias("rss")))
+    return rows.unionByName(state.issues.select(F.lit("issue").alias("kind"), F.col("issue").cast("long").alias("no"), "url", F.lit("").alias("rss")))
+
+
 _KEY = r"lower(regexp_replace(regexp_replace(trim({0}), '(?i)^https?://', ''), '/+\z', ''))"
 _SITE_PATH = (
     r"regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_extract({0}, '(?is)^([a-z][a-z0-9+.-]*)://([^/?#]*)([^?#]*)', 3), "
