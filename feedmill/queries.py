@@ -25,6 +25,7 @@ from feedmill.schemas import CATEGORY_IDS
 from feedmill.sources import tables as T
 from feedmill.sources.shared import new_path
 from feedmill.sources.state import State, latest, read_state, write_state
+from feedmill.streaming.discovery import begin, close, follow, landings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -1010,8 +1011,8 @@ final AS (SELECT blog_url, CASE WHEN rss IN (SELECT url FROM cand) AND rss NOT I
 merged AS (SELECT url FROM pruned UNION ALL SELECT url FROM cand WHERE url IN (SELECT url FROM good))"""
 
 
-def _synced(spark: SparkSession, sf_dir: str):
-    """A run over pages: every fifth page is an issue that a listing of 100 pages links, half of them known; an issue links a blog, whose feed is the second path tried."""
+def _crawled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
+    """What sync takes, from pages: every fifth page is an issue that a listing of 100 pages links, half of them known; an issue links a blog, whose feed is the second path tried."""
     i, pages = F.col("page_id"), _t(spark, sf_dir, "pages")
     mark = F.concat(F.lit("/blog/weekly-issue-"), i.cast("string"), F.lit(".html"))
     a = F.concat(F.lit('<a href="'), mark, F.lit('">Issue '), i.cast("string"), F.lit("</a>"))
@@ -1025,7 +1026,11 @@ def _synced(spark: SparkSession, sf_dir: str):
     listed = pages.where("page_id % 3 = 0").select(i.alias("line_no"), "url")
     feed = F.lit('<?xml version="1.0"?><rss><channel>')
     landed = _responses(spark, sf_dir).select("url", "http_status", "body").unionByName(pages.where("page_id % 20 <> 15").select(F.concat(blog, F.lit(U.FEED_PATHS[1])).alias("url"), F.lit(200).alias("http_status"), feed.alias("body")))
-    return sync(listing, issue_pages, known, _blogs(spark, sf_dir), listed, landed)
+    return listing, issue_pages, known, _blogs(spark, sf_dir), listed, landed
+
+
+def _synced(spark: SparkSession, sf_dir: str):
+    return sync(*_crawled(spark, sf_dir))
 
 
 @query(f"WITH {_SYNC} SELECT blog_url, rss FROM final")
@@ -1038,8 +1043,28 @@ def synced_feed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _synced(spark, sf_dir).feed_list.select("url")
 
 
-@query(f"""WITH {_SYNC} SELECT (SELECT count(*) FROM iss WHERE page_id % 10 = 0) AS known_issues, (SELECT count(*) FROM iss WHERE page_id % 10 = 5) AS new_issues,
+_TOTALS = f"""WITH {_SYNC} SELECT (SELECT count(*) FROM iss WHERE page_id % 10 = 0) AS known_issues, (SELECT count(*) FROM iss WHERE page_id % 10 = 5) AS new_issues,
 (SELECT count(*) FROM blg) AS blogs_before, (SELECT count(*) FROM blg WHERE rss <> '') AS with_rss_before, (SELECT count(*) FROM final) AS blogs, (SELECT count(*) FROM final WHERE rss <> '') AS with_rss,
-(SELECT count(*) FROM pages WHERE page_id % 3 = 0 AND url NOT IN (SELECT url FROM merged)) AS removed_feeds, (SELECT count(*) FROM merged) AS feeds, (SELECT count(*) FROM final) - (SELECT count(*) FROM blg) AS new_blogs""")
+(SELECT count(*) FROM pages WHERE page_id % 3 = 0 AND url NOT IN (SELECT url FROM merged)) AS removed_feeds, (SELECT count(*) FROM merged) AS feeds, (SELECT count(*) FROM final) - (SELECT count(*) FROM blg) AS new_blogs"""
+
+
+@query(_TOTALS)
 def sync_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _synced(spark, sf_dir).stats
+
+
+@query(_TOTALS)
+def streamed_sync_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same crawl as a stream: half of the pages and responses land after the others, in two files of a folder."""
+    listing, issue_pages, known, blogs, listed, landed = _crawled(spark, sf_dir)
+    path, folder, checkpoint = new_path(spark), new_path(spark), new_path(spark)
+    begun = begin(spark, path, blogs, known, listed)
+    as_landed = lambda rows, kind, status: rows.select(F.lit(kind).alias("kind"), "url", status.cast("int").alias("http_status"), "body")
+    rows = as_landed(listing, "listing", F.lit(200)).unionByName(as_landed(issue_pages, "issue", F.col("http_status"))).unionByName(as_landed(landed, "feed", F.col("http_status")))
+    late = (F.col("kind") != "listing") & (F.pmod(F.xxhash64("kind", "url"), F.lit(2)) == 1)
+    for part, day in ((~late, 1), (late, 2)):
+        rows.where(part).withColumn("landed_at", F.make_timestamp(F.lit(2024), F.lit(1), F.lit(day), F.lit(0), F.lit(0), F.lit(0))).write.mode("append").parquet(folder)
+        follow(landings(spark, folder), path, checkpoint).awaitTermination()
+    before, after = read_state(spark, begun), read_state(spark, close(spark, path))
+    found = after.issues.join(before.issues.select("url"), "url", "left_anti")
+    return D.sync_stats(before.issues, found, before.blogs, after.blogs, before.feed_list, after.feed_list)
