@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.scratch import outside, tables, written
+from feedmill.llm.scratch import columns_of, outside, tables, written
 from feedmill.llm.textarrays import NOT_ALNUM, U64, int64, mix, pieces, word_hashes
 
 #: Words that a mask looks at. Items of LONG_WORDS words or more have masks of 4 of at most 8 words, shorter ones of 3 of at most 7.
@@ -268,4 +268,4 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, overlap: float = OV
     """
     with tables(docs.sparkSession):
         found = outside(contamination(docs, benchmark, overlap).select("doc_id").distinct())
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(found, "doc_id", "left_anti").select(*columns_of(docs))

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmill.llm.components import components
-from feedmill.llm.scratch import outside, tables, written
+from feedmill.llm.scratch import columns_of, outside, tables, written
 from feedmill.llm.textarrays import U64, int64, minhashes, mix, pieces, shingles
 
 THRESHOLD, SHINGLE = 0.8, 5
@@ -341,7 +341,7 @@ def keep_one(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         kept = rows.groupBy("grp").agg(F.min(F.struct("doc_id", "mark")).alias("kept")).select("grp", "kept.*")
         gone = outside(rows.join(kept, ["grp", "doc_id", "mark"], "left_anti").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")))  # the smaller side by far
         again = outside(rows.where("count > 1").join(kept, ["grp", "doc_id", "mark"], "left_semi").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")))
-    named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_mark"))
+    named = docs.select(F.struct(*columns_of(docs)).alias("_row"), F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_mark"))
     out = named.join(gone, ["_id", "_mark"], "left_anti")
     if again.limit(1).count():
         one = out.join(again, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"])

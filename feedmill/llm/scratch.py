@@ -6,7 +6,8 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: list[str] = []
 _scopes: list[list[str]] = []
@@ -24,6 +25,11 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[0]
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns of df, whatever they are called."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def _at(spark: SparkSession, path: str):
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at

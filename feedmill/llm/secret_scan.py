@@ -16,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from feedmill.llm.scratch import columns_of
+
 #: Kinds in order of their names in a span list, pattern, group whose length counts, its least length.
 BASE = (
     ("assign", r"""((?i)password|passwd|secret|token|api_?key(?-i))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
@@ -178,7 +180,7 @@ def redact(docs: DataFrame, model: list[float] | None) -> DataFrame:
         end = lambda acc: F.array_join(F.concat(acc["out"], F.array(F.substr(chunk, acc["at"] - first + 1))), "")
         return F.aggregate(own, zero(first), step, end)
 
-    own = F.struct(*docs.columns)
+    own = F.struct(*columns_of(docs))
     marked = scan(docs.select("text", own.alias("row")), model)
     whole = F.transform(F.regexp_extract_all("text", F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0)), lambda chunk, k: masked(chunk, k, F.col("spans")))
     clean = marked.select("row", F.when(F.size("spans") > 0, F.array_join(whole, "")).alias("clean"))
@@ -210,7 +212,8 @@ fitted AS (SELECT r FROM doc WHERE known AND r IN (SELECT r FROM doc WHERE known
 sample AS (
   SELECT token, TRUE AS secret FROM base JOIN fitted USING (r)
   UNION ALL SELECT regexp_extract(word, '^([A-Za-z_]{{6,}})([.,]|$)', 1), FALSE
-  FROM (SELECT unnest(regexp_extract_all(text, '[^ 	-]+')) AS word FROM doc JOIN fitted USING (r)) WHERE regexp_matches(word, '^[A-Za-z_]{{6,}}([.,]|$)')),
+  FROM (SELECT unnest(regexp_extract_all(text, '[^ 	-
+]+')) AS word FROM doc JOIN fitted USING (r)) WHERE regexp_matches(word, '^[A-Za-z_]{{6,}}([.,]|$)')),
 cells AS (SELECT secret, ascii(token[i]) AS a, ascii(token[i + 1]) AS b, count(*) AS n
   FROM (SELECT secret, token, unnest(range(1, length(token))) AS i FROM sample WHERE length(token) > 1) GROUP BY ALL),
 grid AS (SELECT secret, a, b FROM (VALUES (TRUE), (FALSE)) s(secret), range(128) x(a), range(128) y(b)),

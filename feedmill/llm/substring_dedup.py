@@ -293,7 +293,7 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
         found.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("b1"), F.max("block").alias("b2")).where("least < most").select("key", "least", F.expr("b1 = b2").alias("one_block"))
     )
     met = written(found.join(shared, "key").where("doc_id > least or not one_block").select("key", "doc_id", "mark", "one_block", "place"))
-    asked = met.where("not one_block").groupBy("doc_id", "mark").agg(F.collect_list(F.struct("key", "place")).alias("asked"))
+    asked = met.where("not one_block").groupBy("doc_id", "mark").agg(F.collect_set(F.struct("key", "place")).alias("asked"))
     windows = written(
         texts.join(asked, ["doc_id", "mark"]).select("doc_id", "mark", "text", "asked").mapInArrow(_window_task(names), "key long, window long, doc_id long, mark long, place long")
     )
@@ -309,12 +309,13 @@ def dedup_substrings(docs: DataFrame) -> DataFrame:
     doc_id, n_words, n_removed and kept, the kept words joined by one space; a row for each row of docs.
 
     Null or empty text: no words, kept is ''. Null doc_id: nothing is removed and nothing is removed
-    because of it. Rows that share a doc_id never remove each other's words; equal rows have equal results.
+    because of it. Rows that share a doc_id never remove each other's words; equal rows have equal results, and
+    work in proportion to their number.
     There are no ties: only smaller doc_ids count, however many. Texts shorter than a window stay whole. A
     text of any length that Spark can hold is one step of a task (see textarrays). Other columns are ignored.
     An empty table gives an empty one.
     """
-    lost = repeated_windows(docs).groupBy("doc_id", "mark").agg(F.collect_list("place").alias("lost"))
+    lost = repeated_windows(docs).groupBy("doc_id", "mark").agg(F.collect_set("place").alias("lost"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), F.xxhash64("text").alias("mark"))
     return texts.join(lost, ["doc_id", "mark"], "left").select("doc_id", "text", "lost").mapInArrow(_kept_rows, "doc_id long, n_words long, n_removed long, kept string")
 

@@ -190,4 +190,5 @@ def reject_toxic(docs: DataFrame, labels: DataFrame, labelled: DataFrame | None
         for batch in batches:
             yield batch.filter(pa.array(batch_scores(batch.column(place), model.value, lowered, features) < THRESHOLD))
 
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*[f"c{k}" for k in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
