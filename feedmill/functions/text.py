@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 #: Fixed value: Unicode white space, in a form that Java and RE2 read alike.
 SPACE = r"[\x09-\x0D\x20\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+#: The same characters one by one.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 
 
 def as_column(c: Column | str) -> Column:
@@ -17,7 +19,7 @@ def as_column(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without white space at either end."""
-    return F.regexp_replace(F.regexp_replace(as_column(c), f"^{SPACE}+", ""), f"{SPACE}+\\z", "")
+    return F.btrim(as_column(c), F.lit(SPACES))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -393,10 +393,10 @@ def stripped_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "pages").select("page_id", M.strip_html("html").alias("t")).select("page_id", F.md5("t").alias("plain"), F.length("t").alias("n"))
 
 
-@query("SELECT doc_id, 'a' || chr(CAST(33 + doc_id % 40000 AS INTEGER)) || lang || chr(8217) || '&#x41;' AS decoded FROM documents")
+@query("SELECT doc_id, 'a' || chr(CAST(33 + doc_id % 40000 AS INTEGER)) || lang || chr(8217) || '&#x41;' || chr(CAST(128512 + doc_id % 64 AS INTEGER)) || 'b' AS decoded FROM documents")
 def numeric_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = (F.col("doc_id") % 40000 + 33 + F.when(F.col("doc_id") % 2 == 0, 65536).otherwise(0)).cast("string")
-    return _t(spark, sf_dir, "documents").select("doc_id", M.decode_numeric_entities(F.concat(F.lit("a&#"), code, F.lit(";"), "lang", F.lit("&#8217;&#x41;"))).alias("decoded"))
+    return _t(spark, sf_dir, "documents").select("doc_id", M.decode_numeric_entities(F.concat(F.lit("a&#"), code, F.lit(";"), "lang", F.lit("&#8217;&#x41;&#55357;&#"), (F.col("doc_id") % 64 + 56832).cast("string"), F.lit(";b"))).alias("decoded"))
 
 
 @query(rf"""SELECT page_id, {sql_strip("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)")} AS title,
@@ -406,10 +406,20 @@ def page_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "pages").select("page_id", M.tag_text("html", "title").alias("title"), M.attr_value("html", "html", "lang").alias("lang"), M.tag_text("html", "h1").alias("h1"))
 
 
-@query("SELECT event_id, CASE event_id % 5 WHEN 4 THEN '1970-01-01 00:00:00' WHEN 2 THEN strftime(ts + INTERVAL 4 HOUR, '%Y-%m-%d %H:%M:%S') ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS parsed FROM events")
+#: Shapes of dates: a pattern for the clock and day, what follows it, and how many hours UTC is ahead; None is no date.
+_SHAPES = (
+    ("EEE'?'dd MMM yyyy HH:mm:ss", " GMT", 0), ("yyyy-MM-dd'T'HH:mm:ss", "Z", 0), ("d MMMM yyyy HH:mm:ss", " EDT", 4), ("d MMM yyyy HH:mm:ss", " +00:00", 0), (None, "soon", 0),
+    ("dd-MMM-yy HH:mm:ss", "", 0), ("MMM d, yyyy h:mm:ss a", "", 0), ("M/d/yyyy h:mm:ssa", " PST", 8), ("MMM d HH:mm:ss", " UTC {y}", 0), ("yyyy/MM/dd HH:mm:ss", " -0330", 3.5), ("MMM dd yyyy HH:mm:ss", " GMT+0800 (a place)", -8), ("d MMM yy HH:mm:ss", " Q", 0),
+)
+
+
+@query("SELECT event_id, CASE event_id % 12 WHEN 4 THEN '1970-01-01 00:00:00' ELSE strftime(ts + to_minutes(CAST(CASE event_id % 12 " + " ".join(f"WHEN {k} THEN {int(h * 60)}" for k, (_, _, h) in enumerate(_SHAPES)) + " END AS BIGINT)), '%Y-%m-%d %H:%M:%S') END AS parsed FROM events")
 def feed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m, ts = F.col("event_id") % 5, F.col("ts").cast("timestamp")
-    text = F.when(m == 0, F.concat(F.lit("Tue, "), F.date_format(ts, "dd MMM yyyy HH:mm:ss"), F.lit(" GMT"))).when(m == 1, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")).when(m == 2, F.concat(F.date_format(ts, "d MMMM yyyy HH:mm:ss"), F.lit(" EDT"))).when(m == 3, F.concat(F.date_format(ts, "d MMM yyyy HH:mm:ss"), F.lit(" +00:00"))).otherwise("soon")
+    m, ts = F.col("event_id") % 12, F.col("ts").cast("timestamp")
+    text = F.lit(None).cast("string")
+    for k, (pattern, tail, _) in enumerate(_SHAPES):
+        end = F.replace(F.lit(tail), F.lit("{y}"), F.date_format(ts, "yyyy"))
+        text = F.when(m == k, end if pattern is None else F.concat(F.date_format(ts, pattern.replace("EEE'?'", "'Tue, '")), end)).otherwise(text)
     return _t(spark, sf_dir, "events").select("event_id", F.date_format(M.parse_feed_date(text), "yyyy-MM-dd HH:mm:ss").alias("parsed"))
 
 

@@ -59,6 +59,24 @@ def test_dates(spark):
     ])
 
 
+def test_dates_in_other_shapes(spark):
+    day, noon = dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 9, 2, 12, 4)
+    check(spark, M.parse_feed_date, [
+        ("02-Jan-24 03:04:05", day), ("Sept 2, 2024 12:04 PM", noon), ("2 Sep. 2024 12:04", noon), ("9/2/24 12:04pm", noon), ("1/1/2024 7:04:05 p.m. PST", day), ("Tue Jan 02 2024 11:04:05 GMT+0800 (China Standard Time)", day),
+        ("Tue Jan  2 03:04:05 UTC 2024", day), ("2024/1/2 03:04:05", day), ("2024.01.02 03:04:05 Z", day), ("2024-01-02 08:34:05 +0530", day), ("Tue, 2 Jan 24 03:04:05 A", day), ("Tue, 2 Jan 24 03:04:05 j", dt.datetime(1970, 1, 1)),
+        ("03:04:05 2 Jan 2024", day), ("2024 January 2nd 03:04:05 -0000", day), ("2 Jan 68", dt.datetime(1968, 1, 2)), ("2 Jan 49", dt.datetime(2049, 1, 2)), ("Jan 2024", dt.datetime(2024, 1, 1)), ("12:30 am 2 Jan 2024", dt.datetime(2024, 1, 2, 0, 30)),
+        ("2024-01-02T03:04:05.678Z", dt.datetime(2024, 1, 2, 3, 4, 5, 678000)), ("2 Jan 2024 03:04:05,5", dt.datetime(2024, 1, 2, 3, 4, 5, 500000)),
+        *[(t, dt.datetime(1970, 1, 1)) for t in ("31 Feb 2024", "2 Jan 2024 25:00", "2 Jan 2024 03:60", "2 Jan 2024 03:04 +9900", "2 Jan 2024 03:04 CET", "2 Jan", "2024", "12:30", "13/13/2024", "|", "(2 Jan 2024)", "99999999999-01-01 00:00")],
+    ])
+
+
+def test_surrogates_side_by_side_are_one_character(spark):
+    check(spark, M.decode_numeric_entities, [
+        ("a&#55357;&#56832;b", "a\U0001f600b"), ("&#55357;x&#56832;", "\ufffdx\ufffd"), ("&#56832;&#55357;", "\ufffd\ufffd"), ("&#55357;&#55357;&#56832;&#56832;", "\ufffd\U0001f600\ufffd"), ("&#65;&#8217;", "A\u2019"),
+        ("&#55357;&#56832;&#55357;&#56833;", "\U0001f600\U0001f601"),
+    ])
+
+
 def test_feed_checks(spark):
     valid = lambda c: M.is_valid_feed(F.lit(200), c)
     check(spark, valid, [("<rdf:RDF>", True), ("x <rss>", False), (" \n<RSS>", True), ("<html><?xml <feed", True), ("<html>", False), ("", False), (None, False)])
