@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmill.functions.text import or_else, strip
@@ -13,6 +14,7 @@ from feedmill.schemas import CATEGORY_IDS, MODEL_RESPONSES
 from feedmill.sources.shared import written
 
 BATCH = 15
+ANSWERS = "key string, response string, error string"
 DEFAULT_SCORE = 5
 SEPARATOR = "\n\n---\n\n"
 SCORING_GUIDE = (
@@ -193,22 +195,57 @@ def apply_model(prompts: DataFrame, model: Callable[[str], str], fallback: Calla
     is recorded with the batch and stops nothing.
     """
 
+    return prompts.select(F.col("batch_id").cast("long").alias("batch_id"), "prompt").mapInPandas(_answer_task(model, fallback, "batch_id", 1), MODEL_RESPONSES)
+
+
+def _answer_task(model: Callable[[str], str], fallback: Callable[[str], str] | None, key: str, at_once: int):
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         choices = [f for f in (model, fallback) if f is not None]
-        for frame in frames:
-            rows = []
-            for batch, prompt in zip(frame["batch_id"], frame["prompt"], strict=True):
-                text, error = None, None
-                while choices:
-                    try:
-                        text, error = choices[0](prompt), None
-                        break
-                    except Exception as e:  # noqa: BLE001 - whatever the client raises belongs to the batch
-                        error = f"{type(e).__name__}: {e}"
-                        if len(choices) == 1:
-                            break
+
+        def ask(prompt: str) -> tuple[str | None, str | None]:
+            error = None
+            for f in list(choices):
+                try:
+                    return f(prompt), None
+                except Exception as e:  # noqa: BLE001 - whatever the client raises belongs to the batch
+                    error = f"{type(e).__name__}: {e}"
+                    if len(choices) > 1 and choices[0] is f:
                         choices.pop(0)
-                rows.append((batch, text, error))
-            yield pd.DataFrame(rows, columns=["batch_id", "response", "error"])
+            return None, error
+
+        with ThreadPoolExecutor(at_once) as calls:
+            for frame in frames:
+                rows = list(map(ask, frame["prompt"]) if at_once == 1 else calls.map(ask, frame["prompt"]))
+                yield pd.DataFrame({key: frame[key], "response": pd.Series([r for r, _ in rows], dtype=object), "error": pd.Series([e for _, e in rows], dtype=object)})
 
-    return prompts.select(F.col("batch_id").cast("long").alias("batch_id"), "prompt").mapInPandas(answer, MODEL_RESPONSES)
+    return answer
+
+
+def land_answers(prompts: DataFrame, path: str, model: Callable[[str], str], fallback: Callable[[str], str] | None = None, at_once: int = 4, round_size: int = 10_000) -> DataFrame:
+    """Answers (batch_id, response, error) to prompts (batch_id, prompt), of which only those that have not landed under path are asked for.
+
+    An answer is kept by the SHA-256 of its prompt, so equal prompts are asked once, whichever run or batch they stand
+    in. Prompts without one are asked in rounds of about round_size, and each round's answers land before the next
+    begins: a run that is stopped, and started again, asks for the rest. A task has at most at_once calls open; when
+    Spark runs a task of a round again, it asks again for that task's prompts alone. Failed calls land with their
+    error and are asked again by the next run; a batch has the error of its last call, if none succeeded.
+    """
+    spark = prompts.sparkSession
+    asked = written(prompts.select(F.col("batch_id").cast("long").alias("batch_id"), F.sha2("prompt", 256).alias("key"), "prompt"))
+    open_ = asked.join(_landed(spark, path).where("error is null").select("key").distinct(), "key", "left_anti").groupBy("key").agg(F.first("prompt").alias("prompt"))
+    todo = written(open_.repartitionByRange("key").sortWithinPartitions("key"))
+    rounds = -(-todo.count() // round_size)
+    edges = ["", *[f"{k * 2**32 // rounds:08x}" for k in range(1, rounds)], "g"]
+    for low, high in zip(edges[:rounds], edges[1:], strict=False):
+        # keys are spread evenly, and a range of them is a few row groups of the sorted table
+        part = todo.where((F.col("key") >= low) & (F.col("key") < high))
+        part.mapInPandas(_answer_task(model, fallback, "key", at_once), ANSWERS).withColumn("run", F.current_timestamp()).write.mode("append").parquet(path)
+    best = _landed(spark, path).groupBy("key").agg(F.min_by(F.struct("response", "error"), F.struct(F.col("error").isNotNull(), -F.unix_micros("run"))).alias("a"))
+    return asked.join(best, "key", "left").select("batch_id", "a.response", "a.error")
+
+
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+    schema = f"{ANSWERS}, run timestamp"
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)

@@ -606,6 +606,19 @@ def model_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.apply_model(_t(spark, sf_dir, "documents").select(F.col("doc_id").alias("batch_id"), F.col("text").alias("prompt")), _count_words)
 
 
+@query("""WITH a AS (SELECT doc_id AS batch_id, CASE WHEN length(text) % 5 = 0 THEN NULL ELSE CAST(len(string_split(text, ' ')) AS VARCHAR) END AS response, CASE WHEN length(text) % 5 = 0 THEN 'ValueError: odd prompt' END AS error, md5(text) AS k FROM documents)
+SELECT batch_id, response, error, CAST(CASE WHEN error IS NOT NULL AND bool_or(batch_id % 2 = 0) OVER (PARTITION BY k) THEN 2 ELSE 1 END AS BIGINT) AS calls FROM a""")
+def landed_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers that land: a first run asks for every other document, a second for all, of which only those without an answer are asked for."""
+    path = new_path(spark)
+    prompts = _t(spark, sf_dir, "documents").select(F.col("doc_id").alias("batch_id"), F.col("text").alias("prompt"))
+    S.land_answers(prompts.where("batch_id % 2 = 0"), path, _count_words)
+    answers = S.land_answers(prompts, path, _count_words)
+    calls = spark.read.parquet(path).groupBy("key").agg(F.count("*").alias("calls"))
+    keys = prompts.select("batch_id", F.sha2("prompt", 256).alias("key"))
+    return answers.join(keys.join(calls, "key").select("batch_id", "calls"), "batch_id")
+
+
 @query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx, (row_number() OVER (ORDER BY doc_id) - 1) // 15 AS batch_id FROM documents")
 def global_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.assign_batches(_t(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])
@@ -861,6 +874,17 @@ def safe_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _t(spark, sf_dir, "documents").select("doc_id", C.safe_title(t).alias("name"))
 
 
+@query(f"""WITH RECURSIVE {_ARTICLES}, n AS (SELECT edition, rank, '20240130-A' || CASE WHEN rank % 3 = 0 THEN '-2' WHEN rank % 7 = 0 THEN '-2-2' WHEN rank % 5 = 0 THEN '-3' ELSE '' END AS t FROM dig),
+w AS (SELECT edition, CAST(0 AS INTEGER) AS rank, CAST([] AS VARCHAR[]) AS used FROM n WHERE rank = 1
+  UNION ALL SELECT n.edition, n.rank, list_append(w.used, list_filter(list_prepend(n.t, list_transform(range(2, 40), lambda k: n.t || '-' || CAST(k AS VARCHAR))), lambda x: NOT list_contains(w.used, x))[1]) FROM w JOIN n ON n.edition = w.edition AND n.rank = w.rank + 1)
+SELECT edition, rank, used[len(used)] || '.md' AS file_name FROM w WHERE rank > 0""")
+def clip_names_clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles that look like the numbered names of others."""
+    r = F.col("rank")
+    tail = F.when(r % 3 == 0, "-2").when(r % 7 == 0, "-2-2").when(r % 5 == 0, "-3").otherwise("")
+    return C.clip_names(digests(spark, sf_dir).select("edition", "rank", F.concat(F.lit("A"), tail).alias("title")), _as_of()).select("edition", "rank", "file_name")
+
+
 @query(f"""WITH {_ARTICLES}, n AS (SELECT edition, rank, 'A ' || category AS t FROM dig), m AS (SELECT *, row_number() OVER (PARTITION BY edition, t ORDER BY rank) AS k FROM n)
 SELECT edition, rank, '20240130-' || t || CASE WHEN k > 1 THEN '-' || CAST(k AS VARCHAR) ELSE '' END || '.md' AS file_name FROM m""")
 def clip_names(spark: SparkSession, sf_dir: str) -> DataFrame:

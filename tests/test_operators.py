@@ -1,6 +1,8 @@
 """Operators on small tables: ordering, fallbacks, greedy choice, discovery."""
 
+import os
 import random
+import uuid
 
 import pandas as pd
 import pytest
@@ -140,6 +142,53 @@ def test_keyword_counts_and_clip_names(spark):
     assert [r.file_name for r in got] == ["20240130-A.md", "20240130-A-2.md", "20240130-A-2-2.md", "20240130-A.md"]
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_clip_names_equal_a_walk_by_rank(spark, seed):
+    rng = random.Random(seed)
+    titles = ["A", "A-2", "A-3", "A-2-2", "B", "B-2", None, "untitled", "untitled-2"]
+    rows = [(e, k, rng.choice(titles)) for e in "efg" for k in range(25)]
+    want, used = {}, set()
+    for e, k, t in rows:
+        base, n = f"20240130-{t or 'untitled'}", 1
+        while (e, name := base if n == 1 else f"{base}-{n}") in used:
+            n += 1
+        used.add((e, name))
+        want[e, k] = name + ".md"
+    out = C.clip_names(spark.createDataFrame(rows, "edition string, rank int, title string"), F.lit("2024-01-30").cast("timestamp"))
+    assert {(r.edition, r["rank"]): r.file_name for r in out.collect()} == want
+    assert "FlatMapGroupsInPandas" not in out._jdf.queryExecution().toString()
+
+
+def test_answers_that_land_are_not_asked_for_again(spark, tmp_path):
+    path, log = f"file://{tmp_path}/answers", f"{tmp_path}/log"
+    os.makedirs(log)
+
+    def ask(prompt):
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as f:
+            f.write(prompt)
+        if os.path.exists(f"{log}-stop") and len(os.listdir(log)) > 20:
+            raise KeyboardInterrupt
+        if prompt == "bad":
+            raise ValueError("bad")
+        return prompt.upper()
+
+    calls = lambda: sorted(open(f"{log}/{n}").read() for n in os.listdir(log))
+    prompts = spark.createDataFrame([(k, f"p{k % 30}") for k in range(40)] + [(99, "bad"), (100, None)], "batch_id long, prompt string").where("prompt is not null")
+    open(f"{log}-stop", "w").close()
+    with pytest.raises(Exception):  # noqa: B017 - the run is stopped in the middle
+        S.land_answers(prompts, path, ask, round_size=5)
+    os.remove(f"{log}-stop")
+    landed = {r.response for r in spark.read.parquet(path).where("error is null").collect()}
+    assert 5 <= len(landed) < 31
+    asked = len(os.listdir(log))
+    got = {r.batch_id: (r.response, r.error) for r in S.land_answers(prompts, path, ask, round_size=5).collect()}
+    assert got == {**{k: (f"P{k % 30}", None) for k in range(40)}, 99: (None, "ValueError: bad")}
+    assert len(os.listdir(log)) - asked == 31 - len(landed) and len(spark.read.parquet(path).where("error is null").collect()) == 30
+    asked = len(os.listdir(log))
+    assert S.land_answers(prompts, path, lambda p: "now " + p).where("batch_id = 99").first().response == "now bad" and len(os.listdir(log)) == asked
+    assert S.land_answers(prompts.limit(0), f"{path}-none", ask).count() == 0 and calls().count("p0") <= 2
+
+
 def test_translations(spark):
     clips = spark.createDataFrame([("x", "# A heading here\n\nSome english text\n\n```\ncode\n```\n\nMore english text"), ("y", "中文内容很多的文章")], "article_id string, markdown string")
     jobs = C.translation_jobs(clips)
