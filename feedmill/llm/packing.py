@@ -84,12 +84,12 @@ def pack(docs: DataFrame, n_tokens: Column | None = None, buckets: int = BUCKETS
     """
     part = F.shiftrightunsigned("at", 33).alias("part")
     with tables(docs.sparkSession):
-        sized = written(
-            docs.select(
-                F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(word_count(F.col("text")) if n_tokens is None else n_tokens.cast("long"), F.lit(0)).alias("n_tokens"),
-                F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("spread"), F.struct(F.lit(0), *carry).alias("carried"),
-            )
+        sized = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(word_count(F.col("text")) if n_tokens is None else n_tokens.cast("long"), F.lit(0)).alias("n_tokens"),
+            F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("spread"), F.struct(F.lit(0), *carry).alias("carried"),
         )
+        if not carry:  # else texts would be written once more than they have to be
+            sized = written(sized)
         histogram = sized.groupBy("n_tokens").count().orderBy("n_tokens").toPandas()
         bounds = bucket_bounds(histogram["n_tokens"].to_numpy(dtype=np.int64), histogram["count"].to_numpy(dtype=np.int64), buckets) or [0]
         edges = F.array(*[F.lit(b) for b in bounds])
