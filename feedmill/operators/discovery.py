@@ -7,60 +7,72 @@ Bodies are reduced to a flag before any join.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmill.functions import urls as U
 from feedmill.functions.markup import ENTITIES, decode_numeric_entities, is_valid_feed, looks_like_feed_head
-from feedmill.functions.text import SPACE, strip
+from feedmill.functions.text import SPACE, filled, let, strip
 
-ANCHORS = "array<struct<pos: int, href: string, text: string>>"
+#: What is no text, with the end of the page in place of a missing end; and a tag, which may hold > in quotes.
+_NO_TEXT = r"(?is)<!--.*?(?:-->|\z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
+_TAG = r"""<[/!?]?[a-zA-Z!][^<>"']*(?:"[^"]*"[^<>"']*|'[^']*'[^<>"']*)*>"""
+#: Elements without an end tag.
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
-class _Anchors(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.found: list[dict] = []
-        self.open: list[dict] = []
+def _anchor_spans(tags: Column) -> Column:
+    """(first, last) of each <a> among an array of tags, in their order: where it begins and where it is closed.
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "a":
-            given = dict(attrs)
-            row = {"pos": len(self.found), "href": given.get("href"), "text": []}
-            self.open.append(row)
-            if row["href"] is not None:
-                self.found.append(row)
+    A fold over the tags with the open elements as a stack: an end tag closes the last open element of its name and
+    all that were opened in it, and one without such an element nothing. What is open at the end of the page is closed there.
+    """
+    name = lambda t: F.lower(F.regexp_extract(t, r"^</?([a-zA-Z][^\s/>]*)", 1))
+    empty = lambda t: F.endswith(t, F.lit("/>")) & ~t.rlike(r"""=\s*[^\s"'>]+/>\z""")  # noqa: E731 - a slash may end a value
+    read = F.transform(tags, lambda t, k: F.struct(name(t).alias("name"), k.alias("at"), F.startswith(t, F.lit("</")).alias("shut"), (empty(t) | name(t).isin(*_VOID)).alias("single")))
+    span = lambda first, last: F.struct(first.cast("int").alias("first"), last.cast("int").alias("last"))
+    state = lambda names, ats, spans: F.struct(names.alias("names"), ats.alias("ats"), spans.alias("spans"))
 
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
+    def closed(s: Column, kept: Column, at: Column) -> Column:
+        """The spans, and those of the open anchors after the first kept elements, which end at a tag."""
+        shut = F.filter(F.arrays_zip(s["names"], s["ats"]), lambda x, k: (k >= kept) & (x["names"] == "a"))
+        return F.concat(s["spans"], F.transform(shut, lambda x: span(x["ats"], at)))
 
-    def handle_endtag(self, tag: str) -> None:
-        if tag == "a" and self.open:
-            self.open.pop()
+    def step(s: Column, t: Column) -> Column:
+        def end(back: Column) -> Column:
+            kept = F.size(s["names"]) - back.cast("int")
+            return F.when(back == 0, s).otherwise(state(F.slice(s["names"], F.lit(1), kept), F.slice(s["ats"], F.lit(1), kept), closed(s, kept, t["at"])))
 
-    def handle_data(self, data: str) -> None:
-        for row in self.open:
-            row["text"].append(data.strip())
+        begin = state(F.concat(s["names"], F.array(t["name"])), F.concat(s["ats"], F.array(t["at"])), s["spans"])
+        alone = F.when(t["name"] == "a", state(s["names"], s["ats"], F.concat(s["spans"], F.array(span(t["at"], t["at"]))))).otherwise(s)
+        return F.when(t["name"] == "", s).when(t["shut"], let(F.array_position(F.reverse(s["names"]), t["name"]), end)).when(t["single"], alone).otherwise(begin)
 
+    start = state(F.array().cast("array<string>"), F.array().cast("array<int>"), F.array().cast("array<struct<first: int, last: int>>"))
+    return F.array_sort(F.aggregate(read, start, step, lambda s: closed(s, F.lit(0), F.size(read))))
 
-def _anchors(html: str | None) -> list[dict]:
-    page = _Anchors()
-    page.feed(html or "")
-    page.close()
-    return [{**row, "text": "".join(row["text"])} for row in page.found]
 
+def parsed_anchors(html: Column | str) -> Column:
+    """Array of the anchors with an href (pos, href, text) of tag soup: unclosed, nested and crossing elements.
 
-def _anchor_series(pages: pd.Series) -> pd.Series:
-    return pages.map(_anchors)
+    Text is every piece between tags stripped and joined without a space; scripts, styles and comments have none.
+    """
+    clean = F.regexp_replace(filled(html), _NO_TEXT, "<!>")
+    tags, pieces = F.regexp_extract_all(clean, F.lit(f"({_TAG})"), F.lit(1)), F.transform(F.split(clean, _TAG, -1), lambda t: strip(_decoded(decode_numeric_entities(t))))
 
+    def anchors(page: Column) -> Column:
+        href = lambda s: _href(F.get(page["tags"], s["first"]))
+        text = lambda s: F.array_join(F.slice(page["pieces"], s["first"] + 2, s["last"] - s["first"]), "")
+        found = F.filter(F.transform(_anchor_spans(page["tags"]), lambda s: F.struct(s.alias("s"), href(s).alias("href"))), lambda x: x["href"].isNotNull())
+        return F.transform(found, lambda x, k: F.struct(k.alias("pos"), x["href"].alias("href"), text(x["s"]).alias("text")))
 
-def parsed_anchors(html: Column | str) -> Column:
-    """Array of the anchors of tag soup, from a tolerant parser."""
-    return F.pandas_udf(_anchor_series, ANCHORS)(html)
+    return let(F.struct(tags.alias("tags"), pieces.alias("pieces")), anchors)
+
+
+def _href(tag: Column) -> Column:
+    """The href of a tag, null without one."""
+    value = F.regexp_extract(tag, r"""(?is)\shref(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?(?=[\s/>"'])""", 1)
+    plain = F.regexp_replace(value, r"""(?s)^(["'])(.*)\1$""", "$2")
+    return F.when(tag.rlike(r"""(?is)\shref(?=[\s=/>])"""), _decoded(decode_numeric_entities(plain)))
 
 
 def _decoded(text):
@@ -72,8 +84,8 @@ def _decoded(text):
 def extract_anchors(pages: DataFrame, tolerant: bool = False) -> DataFrame:
     """The columns of pages but body, and pos, href and text of every anchor with an href, in page order.
 
-    Text is every piece between tags stripped and joined without a space. tolerant parses with a helper
-    that repairs tag soup; by default a pattern finds anchors with a closing tag, on the JVM.
+    Text is every piece between tags stripped and joined without a space. tolerant keeps the open elements of a page in
+    mind, so it repairs tag soup; by default a pattern finds anchors with a closing tag.
     """
     kept = [c for c in pages.columns if c != "body"]
     if tolerant:
