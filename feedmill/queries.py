@@ -1012,12 +1012,12 @@ def probed_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.blogs_to_probe(new, new.where("row_no % 3 = 0"))
 
 
-@query(f"""WITH {_BLOGS}, n AS (SELECT page_id % 10 AS issue, page_id AS pos, {_NEW_BLOG} AS blog_url, '' AS rss FROM pages WHERE page_id % 3 = 1)
+@query(f"""WITH {_BLOGS}, n AS (SELECT page_id % 10 AS issue, page_id AS pos, {_NEW_BLOG} AS blog_url, '' AS rss FROM pages)
 SELECT row_no, blog_url, rss FROM blg UNION ALL SELECT (SELECT max(row_no) FROM blg) + 1 + issue * 4294967296 + pos, blog_url, rss FROM n""")
 def appended_blogs(spark: SparkSession, sf_dir: str) -> DataFrame:
     blogs = _blogs(spark, sf_dir).select("row_no", "blog_url", "rss")
     blog = F.replace(F.regexp_extract("url", "^[^:]+://[^/?#]*", 0), F.lit(".com"), F.lit(".dev"))
-    new = _t(spark, sf_dir, "pages").where("page_id % 3 = 1").select((F.col("page_id") % 10).cast("int").alias("issue"), F.col("page_id").cast("int").alias("pos"), blog.alias("blog_url"), F.lit("").alias("rss"))
+    new = _t(spark, sf_dir, "pages").select((F.col("page_id") % 10).cast("int").alias("issue"), F.col("page_id").cast("int").alias("pos"), blog.alias("blog_url"), F.lit("").alias("rss"))
     return D.append_blogs(blogs, new)
 
 
@@ -1031,35 +1031,36 @@ def pruned_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SYNC = rf"""{_RESP}, {_BLOGS},
-iss AS (SELECT page_id, '{U.SITE}/blog/weekly-issue-' || CAST(page_id AS VARCHAR) || '.html' AS issue_url, CAST(row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) AS INTEGER) AS issue FROM pages WHERE page_id % 5 = 0),
+iss AS (SELECT page_id, '{U.SITE}/blog/weekly-issue-' || CAST(page_id AS VARCHAR) || '.html' AS issue_url, CAST(row_number() OVER (PARTITION BY page_id // 100 ORDER BY page_id) AS INTEGER) AS issue FROM pages),
+lst AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN url ELSE url || '/old' END AS url FROM pages),
 good AS (SELECT url FROM resp WHERE {_VALID} UNION SELECT {_NEW_BLOG} || '{U.FEED_PATHS[1]}' FROM pages WHERE page_id % 20 <> 15),
-kept AS (SELECT row_no, blog_url, CASE WHEN rss IN (SELECT url FROM pages WHERE page_id % 3 = 0) AND rss NOT IN (SELECT url FROM good) THEN '' ELSE rss END AS rss FROM blg),
-links AS (SELECT i.issue, i.page_id, {_NEW_BLOG} AS blog_url FROM iss i JOIN pages p USING (page_id) WHERE page_id % 10 = 5 AND page_id % 30 <> 5),
+kept AS (SELECT row_no, blog_url, CASE WHEN rss IN (SELECT url FROM lst) AND rss NOT IN (SELECT url FROM good) THEN '' ELSE rss END AS rss FROM blg),
+links AS (SELECT i.issue, i.page_id, {_NEW_BLOG} AS blog_url FROM iss i JOIN pages p USING (page_id) WHERE page_id % 2 = 1 AND page_id % 30 <> 5),
 pers AS (SELECT *, {_OUT_DOMAIN} AS domain FROM links),
 fresh AS (SELECT blog_url, min((issue, 0, 'Issue' || CAST(page_id AS VARCHAR))) AS m FROM pers WHERE {put(_PERSONAL, 'domain')} AND blog_url NOT IN (SELECT blog_url FROM blg) GROUP BY blog_url),
 found AS (SELECT blog_url, CASE WHEN blog_url || '{U.FEED_PATHS[1]}' IN (SELECT url FROM good) THEN blog_url || '{U.FEED_PATHS[1]}' ELSE '' END AS rss FROM fresh),
 grown AS (SELECT blog_url, rss FROM kept UNION ALL SELECT blog_url, rss FROM found),
-pruned AS (SELECT url FROM pages WHERE page_id % 3 = 0 AND url IN (SELECT url FROM good)),
+pruned AS (SELECT url FROM lst WHERE url IN (SELECT url FROM good)),
 cand AS (SELECT DISTINCT rss AS url FROM grown WHERE rss <> '' AND rss NOT IN (SELECT url FROM pruned)),
 final AS (SELECT blog_url, CASE WHEN rss IN (SELECT url FROM cand) AND rss NOT IN (SELECT url FROM good) THEN '' ELSE rss END AS rss FROM grown),
 merged AS (SELECT url FROM pruned UNION ALL SELECT url FROM cand WHERE url IN (SELECT url FROM good))"""
 
 
 def _crawled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
-    """What sync takes, from pages: every fifth page is an issue that a listing of 100 pages links, half of them known; an issue links a blog, whose feed is the second path tried."""
+    """What sync takes: each page is an issue that a listing of 100 pages links, half of them known; an issue links a blog, whose feed is the second path tried."""
     i, pages = F.col("page_id"), _t(spark, sf_dir, "pages")
     mark = F.concat(F.lit("/blog/weekly-issue-"), i.cast("string"), F.lit(".html"))
     a = F.concat(F.lit('<a href="'), mark, F.lit('">Issue '), i.cast("string"), F.lit("</a>"))
-    listing = pages.where("page_id % 5 = 0").groupBy(F.floor(i / 100).alias("k")).agg(F.array_sort(F.collect_list(F.struct("page_id", a.alias("a")))).alias("s"))
+    listing = pages.groupBy(F.floor(i / 100).alias("k")).agg(F.array_sort(F.collect_list(F.struct("page_id", a.alias("a")))).alias("s"))
     listing = listing.select(F.concat(F.lit("list"), F.col("k").cast("string")).alias("url"), F.array_join(F.transform("s", lambda x: x["a"]), "\n").alias("body"))
     url = F.concat(F.lit(U.SITE), mark)
     blog = F.replace(F.regexp_extract("url", "^[^:]+://[^/?#]*", 0), F.lit(".com"), F.lit(".dev"))
-    known = pages.where("page_id % 10 = 0").select(i.cast("int").alias("issue"), F.lit("t").alias("title"), url.alias("url"))
+    known = pages.select(i.cast("int").alias("issue"), F.lit("t").alias("title"), F.concat(url, F.when(i % 2 == 0, "").otherwise("-old")).alias("url"))
     link = F.concat(F.lit("<p><a href='"), blog, F.lit("'>Issue <i> "), i.cast("string"), F.lit("</i></a></p>"))
-    issue_pages = pages.where("page_id % 5 = 0").select(url.alias("url"), F.when(i % 30 == 5, 404).otherwise(200).alias("http_status"), link.alias("body"))
-    listed = pages.where("page_id % 3 = 0").select(i.alias("line_no"), "url")
+    issue_pages = pages.select(url.alias("url"), F.when(i % 30 == 5, 404).otherwise(200).alias("http_status"), link.alias("body"))
+    listed = pages.select(i.alias("line_no"), F.concat("url", F.when(i % 3 == 0, "").otherwise("/old")).alias("url"))
     feed = F.lit('<?xml version="1.0"?><rss><channel>')
-    landed = _responses(spark, sf_dir).select("url", "http_status", "body").unionByName(pages.where("page_id % 20 <> 15").select(F.concat(blog, F.lit(U.FEED_PATHS[1])).alias("url"), F.lit(200).alias("http_status"), feed.alias("body")))
+    landed = _responses(spark, sf_dir).select("url", "http_status", "body").unionByName(pages.select(F.concat(blog, F.lit(U.FEED_PATHS[1])).alias("url"), F.when(i % 20 == 15, 404).otherwise(200).alias("http_status"), feed.alias("body")))
     return listing, issue_pages, known, _blogs(spark, sf_dir), listed, landed
 
 
@@ -1077,9 +1078,9 @@ def synced_feed_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _synced(spark, sf_dir).feed_list.select("url")
 
 
-_TOTALS = f"""WITH {_SYNC} SELECT (SELECT count(*) FROM iss WHERE page_id % 10 = 0) AS known_issues, (SELECT count(*) FROM iss WHERE page_id % 10 = 5) AS new_issues,
+_TOTALS = f"""WITH {_SYNC} SELECT (SELECT count(*) FROM iss) AS known_issues, (SELECT count(*) FROM iss WHERE page_id % 2 = 1) AS new_issues,
 (SELECT count(*) FROM blg) AS blogs_before, (SELECT count(*) FROM blg WHERE rss <> '') AS with_rss_before, (SELECT count(*) FROM final) AS blogs, (SELECT count(*) FROM final WHERE rss <> '') AS with_rss,
-(SELECT count(*) FROM pages WHERE page_id % 3 = 0 AND url NOT IN (SELECT url FROM merged)) AS removed_feeds, (SELECT count(*) FROM merged) AS feeds, (SELECT count(*) FROM final) - (SELECT count(*) FROM blg) AS new_blogs"""
+(SELECT count(*) FROM lst WHERE url NOT IN (SELECT url FROM merged)) AS removed_feeds, (SELECT count(*) FROM merged) AS feeds, (SELECT count(*) FROM final) - (SELECT count(*) FROM blg) AS new_blogs"""
 
 
 @query(_TOTALS)
