@@ -10,7 +10,7 @@ from feedmill.functions.text import as_column, filled, first_group, let, or_else
 
 def cdata(text: Column | str) -> Column:
     """What the first CDATA section holds; the text itself without one."""
-    return F.regexp_replace(as_column(text), r"(?s)\A.*?<!\[CDATA\[(.*?)\]\]>.*\z", "$1")
+    return let(as_column(text), lambda t: F.when(t.contains("<![CDATA["), F.regexp_replace(t, r"(?s)\A.*?<!\[CDATA\[(.*?)\]\]>.*\z", "$1")).otherwise(t))
 
 
 def tag_text(xml: Column | str, tag: str) -> Column:
@@ -49,10 +49,33 @@ ENTITIES = (("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#3
 
 def strip_html(text: Column | str) -> Column:
     """Drop tags, then decode entities one kind after another, so a doubly escaped one is decoded twice."""
-    out = F.regexp_replace(filled(text), r"<[^>]*>", "")
+    return strip(_decoded(_without_tags(filled(text))))
+
+
+def _without_tags(text: Column) -> Column:
+    return F.regexp_replace(text, r"<[^>]*>", "")
+
+
+def _decoded(text: Column) -> Column:
     for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return strip(decode_numeric_entities(out))
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return decode_numeric_entities(text)
+
+
+def html_start(text: Column | str, limit: int, ahead: int | None = None) -> Column:
+    """The first limit characters of strip_html(text), from the text's first ahead characters where they settle it.
+
+    They do if no tag or entity can reach over their end, and if they give limit characters up to one that is no white space.
+    """
+    ahead = ahead or 6 * limit
+
+    def begin(whole: Column) -> Column:
+        head = F.substring(whole, 1, ahead)
+        safe = lambda s: ~F.right(s, F.lit(64)).contains("&") & F.right(s, F.lit(64)).rlike("[^0-9]") & (F.length(s) >= 64)
+        settled = let(_without_tags(head), lambda s: F.when(safe(s), let(strip(_decoded(s)), lambda d: F.when(F.length(d) >= limit, d))))
+        return F.substring(F.coalesce(F.when((F.length(whole) > ahead) & ~head.rlike(r"<[^>]*\z"), settled), strip_html(whole)), 1, limit)
+
+    return let(filled(text), begin)
 
 
 def feed_format(body: Column | str) -> Column:
@@ -93,7 +116,7 @@ def item_date_text(item: Column | str, kind: Column) -> Column:
 def item_description(item: Column | str, kind: Column, limit: int = 500) -> Column:
     """Summary or content without markup, cut to its first characters."""
     raw = F.when(kind == "atom", or_else(tag_text(item, "summary"), tag_text(item, "content"))).otherwise(or_else(tag_text(item, "description"), tag_text(item, "content:encoded")))
-    return F.substring(strip_html(raw), 1, limit)
+    return html_start(raw, limit)
 
 
 #: Offsets of the zone names that feeds use. Single letters are zones that say nothing, and count as UTC.

@@ -1,6 +1,7 @@
 """Hand-derived cases of the column functions."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -70,6 +71,15 @@ def test_dates_in_other_shapes(spark):
     ])
 
 
+def test_the_start_of_a_text_equals_that_of_the_whole(spark):
+    rng = random.Random(4)
+    bits = ["word ", "<b>", "</b>", "<a href='x", "'>", "&amp;", "&am", "p;", "lt;", "&#6", "5;", "&#", "1234567890" * 8, ";", " " * 70, "&nbsp;", "<", ">", "é語 "]
+    rows = [("".join(rng.choice(bits) for _ in range(rng.randrange(200))),) for _ in range(600)] + [("&#" + "1" * 3000 + ";tail",), (" " * 3000 + "x",), ("x" * 120 + " " * 3000,), ("x " * 2000,), (None,)]
+    df = spark.createDataFrame(rows, "t string").repartition(4)
+    assert df.where(~F.substring(M.strip_html("t"), 1, 100).eqNullSafe(M.html_start("t", 100, 150)) | ~F.substring(M.strip_html("t"), 1, 20).eqNullSafe(M.html_start("t", 20, 90))).count() == 0
+    assert df.where(F.length("t") > 150).count() > 300
+
+
 def test_surrogates_side_by_side_are_one_character(spark):
     check(spark, M.decode_numeric_entities, [
         ("a&#55357;&#56832;b", "a\U0001f600b"), ("&#55357;x&#56832;", "\ufffdx\ufffd"), ("&#56832;&#55357;", "\ufffd\ufffd"), ("&#55357;&#55357;&#56832;&#56832;", "\ufffd\U0001f600\ufffd"), ("&#65;&#8217;", "A\u2019"),
