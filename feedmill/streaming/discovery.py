@@ -55,6 +55,8 @@ def merge_landing(landed: DataFrame, path: str, landing: int, patience: str = PA
     if landing <= base.note["landing"]:
         return base
     held = read_state(spark, base)
+    # numbered once, not by each step that reads them
+    held.blogs, held.feed_list = written(held.blogs), written(held.feed_list)
     now = landed.agg(F.max("landed_at").cast("string")).first()[0]
     now = max(t for t in (now, base.note["now"], "1970-01-01 00:00:00") if t)
     at = F.lit(now).cast("timestamp")
