@@ -25,3 +25,9 @@ def test_responses_of_a_repeated_url(spark, tmp_path):
     pages = spark.createDataFrame([(1, "https://a/x", ""), (3, "https://a/x", ""), (4, "https://a/x", ""), (8, "https://a/y", "")], PAGES)
     got = same_as_sql(spark, tmp_path, "landed_responses", pages=pages)
     assert got == [("https://a/x", "200", "True")] * 2 + [("https://a/x", "204", "False"), ("https://a/y", "200", "True")]
+
+
+def test_a_url_with_a_valid_and_an_invalid_response_is_purged(spark, tmp_path):
+    pages = spark.createDataFrame([(4, "https://a/x", "<rss>"), (20, "https://a/x", ""), (8, "https://a/y", "<rss>"), (28, "https://a/y", "")], PAGES)
+    got = same_as_sql(spark, tmp_path, "purged_blogs", pages=pages)
+    assert [r[3] for r in got] == ["True", "False", "True", "False"]
