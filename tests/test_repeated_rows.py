@@ -31,3 +31,10 @@ def test_a_url_with_a_valid_and_an_invalid_response_is_purged(spark, tmp_path):
     pages = spark.createDataFrame([(4, "https://a/x", "<rss>"), (20, "https://a/x", ""), (8, "https://a/y", "<rss>"), (28, "https://a/y", "")], PAGES)
     got = same_as_sql(spark, tmp_path, "purged_blogs", pages=pages)
     assert [r[3] for r in got] == ["True", "False", "True", "False"]
+
+
+@pytest.mark.parametrize("name", ["page_main_content", "page_markdown"])
+def test_references_that_were_cut(spark, tmp_path, name):
+    html = '<html><body><div class="ad">An ad.</div><article><h1>Title = &quot</h1><p>{}A &amp and &quot;b&quot;.</p></article></body></html>'
+    pages = spark.createDataFrame([(k, f"https://a/{k}", html.format("Some words of a story. " * 9)) for k in range(1, 9)], PAGES)
+    same_as_sql(spark, tmp_path, name, pages=pages)
