@@ -38,3 +38,10 @@ def test_references_that_were_cut(spark, tmp_path, name):
     html = '<html><body><div class="ad">An ad.</div><article><h1>Title = &quot</h1><p>{}A &amp and &quot;b&quot;.</p></article></body></html>'
     pages = spark.createDataFrame([(k, f"https://a/{k}", html.format("Some words of a story. " * 9)) for k in range(1, 9)], PAGES)
     same_as_sql(spark, tmp_path, name, pages=pages)
+
+
+@pytest.mark.parametrize("name", ["translation_jobs", "translated_clippings"])
+def test_short_clippings_beside_chinese(spark, tmp_path, name):
+    rows = [(1, 3, "user", "Le de éç de."), (1, 4, "user", "Le de éç de."), (3, 1, "user", "A longer text, most of which is not Chinese at all.")]
+    talks = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    same_as_sql(spark, tmp_path, name, conversations=talks)
