@@ -45,3 +45,9 @@ def test_short_clippings_beside_chinese(spark, tmp_path, name):
     rows = [(1, 3, "user", "Le de éç de."), (1, 4, "user", "Le de éç de."), (3, 1, "user", "A longer text, most of which is not Chinese at all.")]
     talks = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
     same_as_sql(spark, tmp_path, name, conversations=talks)
+
+
+def test_a_listing_holds_a_fifth_of_all_pages(spark, tmp_path):
+    pages = spark.range(0, 1500).selectExpr("id as page_id", "'https://a/' || id as url", "'' as html")
+    got = same_as_sql(spark, tmp_path, "listed_issues", pages=pages)
+    assert len({r[0] for r in got}) == 5 and max(int(r[1]) for r in got) > 100
