@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +14,8 @@ from feedmill.schemas import CATEGORY_IDS, MODEL_RESPONSES
 from feedmill.sources.shared import written
 
 BATCH = 15
+#: Prompts of an Arrow batch that a task turns into Python texts at a time.
+PROMPTS = 256
 ANSWERS = "key string, response string, error string"
 DEFAULT_SCORE = 5
 SEPARATOR = "\n\n---\n\n"
@@ -195,11 +197,11 @@ def apply_model(prompts: DataFrame, model: Callable[[str], str], fallback: Calla
     is recorded with the batch and stops nothing.
     """
 
-    return prompts.select(F.col("batch_id").cast("long").alias("batch_id"), "prompt").mapInPandas(_answer_task(model, fallback, "batch_id", 1), MODEL_RESPONSES)
+    return prompts.select(F.col("batch_id").cast("long").alias("batch_id"), "prompt").mapInArrow(_answer_task(model, fallback, "batch_id", 1), MODEL_RESPONSES)
 
 
 def _answer_task(model: Callable[[str], str], fallback: Callable[[str], str] | None, key: str, at_once: int):
-    def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         choices = [f for f in (model, fallback) if f is not None]
 
         def ask(prompt: str) -> tuple[str | None, str | None]:
@@ -214,9 +216,10 @@ def _answer_task(model: Callable[[str], str], fallback: Callable[[str], str] | N
             return None, error
 
         with ThreadPoolExecutor(at_once) as calls:
-            for frame in frames:
-                rows = list(map(ask, frame["prompt"]) if at_once == 1 else calls.map(ask, frame["prompt"]))
-                yield pd.DataFrame({key: frame[key], "response": pd.Series([r for r, _ in rows], dtype=object), "error": pd.Series([e for _, e in rows], dtype=object)})
+            for part in (batch.slice(at, PROMPTS) for batch in batches for at in range(0, batch.num_rows, PROMPTS)):
+                asked = (p.as_py() for p in part.column("prompt"))
+                rows = list(map(ask, asked) if at_once == 1 else calls.map(ask, asked))
+                yield pa.record_batch([part.column(key), pa.array([r for r, _ in rows], pa.string()), pa.array([e for _, e in rows], pa.string())], [key, "response", "error"])
 
     return answer
 
@@ -239,7 +242,7 @@ def land_answers(prompts: DataFrame, path: str, model: Callable[[str], str], fal
     for low, high in zip(edges[:rounds], edges[1:], strict=False):
         # keys are spread evenly, and a range of them is a few row groups of the sorted table
         part = todo.where((F.col("key") >= low) & (F.col("key") < high))
-        part.mapInPandas(_answer_task(model, fallback, "key", at_once), ANSWERS).withColumn("run", F.current_timestamp()).write.mode("append").parquet(path)
+        part.mapInArrow(_answer_task(model, fallback, "key", at_once), ANSWERS).withColumn("run", F.current_timestamp()).write.mode("append").parquet(path)
     best = _landed(spark, path).groupBy("key").agg(F.min_by(F.struct("response", "error"), F.struct(F.col("error").isNotNull(), -F.unix_micros("run"))).alias("a"))
     return asked.join(best, "key", "left").select("batch_id", "a.response", "a.error")
 
