@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmill.llm.scratch import tables, written
+from feedmill.llm.scratch import outside, tables, written
 from feedmill.llm.textarrays import SPACES, U64, gram_hashes, gram_prefix, hash_ranges, int64, mix, pieces, ramp, word_bounds
 
 WINDOW = 50
@@ -169,7 +169,9 @@ def agree_on_names(texts: DataFrame) -> Names:
         while True:
             made = texts.select("text").mapInArrow(_made_task(names, levels), "name long, stands_for long")
             kinds = made.groupBy("name").agg(F.min("stands_for").alias("one"), F.max("stands_for").alias("other"))
-            clashes = [(max(r.one & 3, r.other & 3), r.name) for r in kinds.where("one <> other").collect()]
+            with tables(texts.sparkSession):  # the shuffle of a round is dropped before the next
+                clashes = [(max(r.one & 3, r.other & 3), r.name) for r in kinds.where("one <> other").collect()]
+            del made, kinds
             if not clashes:
                 break
             lowest = min(level for level, _ in clashes)  # the levels above it get new names with it
@@ -288,11 +290,13 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text").where("doc_id is not null and text is not null")
     with tables(docs.sparkSession):
         names = agree_on_names(texts)
-    found = written(texts.mapInArrow(_anchor_task(names), "key long, block long, doc_id long, mark long, place long"))
-    shared = written(
-        found.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("b1"), F.max("block").alias("b2")).where("least < most").select("key", "least", F.expr("b1 = b2").alias("one_block"))
-    )
-    met = written(found.join(shared, "key").where("doc_id > least or not one_block").select("key", "doc_id", "mark", "one_block", "place"))
+    with tables(docs.sparkSession):
+        found = written(texts.mapInArrow(_anchor_task(names), "key long, block long, doc_id long, mark long, place long"))
+        with tables(docs.sparkSession):
+            shared = outside(
+                found.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.min("block").alias("b1"), F.max("block").alias("b2")).where("least < most").select("key", "least", F.expr("b1 = b2").alias("one_block"))
+            )
+        met = outside(found.join(shared, "key").where("doc_id > least or not one_block").select("key", "doc_id", "mark", "one_block", "place"))
     asked = met.where("not one_block").groupBy("doc_id", "mark").agg(F.collect_set(F.struct("key", "place")).alias("asked"))
     windows = written(
         texts.join(asked, ["doc_id", "mark"]).select("doc_id", "mark", "text", "asked").mapInArrow(_window_task(names), "key long, window long, doc_id long, mark long, place long")

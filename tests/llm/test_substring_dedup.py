@@ -111,3 +111,16 @@ def test_sql_equals_brute_force():
     con.execute("create table documents (doc_id bigint, text varchar)")
     con.executemany("insert into documents values (?, ?)", rows)
     assert sorted(con.sql(S.SQL).fetchall()) == sorted(brute_force(rows))
+
+
+def test_tables_of_done_steps_are_deleted(spark):
+    from pathlib import Path
+
+    from feedmill.llm.scratch import shared_folder
+    from feedmill.llm.substring_dedup import repeated_windows
+
+    there = lambda: set(Path(shared_folder(spark).removeprefix("file://")).glob("**/feedmill-*"))
+    before, text = there(), " ".join(f"w{i}" for i in range(80))
+    rows = repeated_windows(spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string"))
+    assert {r.doc_id for r in rows.collect()} == {2}
+    assert len(there() - before) == 3  # met, windows and least; not the anchors of all texts
