@@ -40,6 +40,14 @@ def test_references_that_were_cut(spark, tmp_path, name):
     same_as_sql(spark, tmp_path, name, pages=pages)
 
 
+def test_white_space_of_an_ad_that_wins(spark, tmp_path):
+    html = '<html><body><div class="ad">{}</div><article><h1>Title</h1><p>A short\nstory.</p></article></body></html>'
+    ads = ["An ad that is longer than the story.\nIt has two lines.", " One line, \n\n\n  then  another,\tand a third.\r\n ", "\nA line break before a longer text", "Brief\nad"]
+    pages = spark.createDataFrame([(k, f"https://a/{k}", html.format(ad)) for k, ad in enumerate(ads)], PAGES)
+    got = same_as_sql(spark, tmp_path, "page_main_content", pages=pages)
+    assert [r[1] for r in got] == ["div", "div", "div", "section"]
+
+
 @pytest.mark.parametrize("name", ["translation_jobs", "translated_clippings"])
 def test_short_clippings_beside_chinese(spark, tmp_path, name):
     rows = [(1, 3, "user", "Le de éç de."), (1, 4, "user", "Le de éç de."), (3, 1, "user", "A longer text, most of which is not Chinese at all.")]
